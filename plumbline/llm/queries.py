@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, sharding
+from . import exact_dedup, sharding, warc
 from ._spark import table
 
 
@@ -19,8 +19,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_records(spark, warc.write_records(table(spark, sf_dir, "pages"), min_bytes=0)).drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op6_sharding)}
+    return {f.__name__: f for f in (op4_exact_dedup, op6_sharding, op9_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
