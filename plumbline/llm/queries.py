@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, sharding, warc
+from . import exact_dedup, sentencepiece_bpe, sharding, warc
 from ._spark import table
 
 
@@ -23,8 +23,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, warc.write_records(table(spark, sf_dir, "pages"), min_bytes=0)).drop("url")
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.encoded(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op6_sharding, op9_warc)}
+    return {f.__name__: f for f in (op4_exact_dedup, op6_sharding, op9_warc, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
