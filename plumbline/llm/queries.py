@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, sentencepiece_bpe, sharding, warc
+from . import exact_dedup, packing, sentencepiece_bpe, sharding, warc
 from ._spark import table
 
 
@@ -19,6 +19,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, warc.write_records(table(spark, sf_dir, "pages"), min_bytes=0)).drop("url")
 
@@ -28,7 +32,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op6_sharding, op9_warc, op10_sentencepiece)}
+    return {f.__name__: f for f in (op4_exact_dedup, op6_sharding, op7_packing, op9_warc, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
