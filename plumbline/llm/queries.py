@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sentencepiece_bpe, sharding, warc
+from . import exact_dedup, packing, sentencepiece_bpe, sharding, toxicity, warc
 from ._spark import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,7 +37,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op6_sharding, op7_packing, op9_warc, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_toxicity, op4_exact_dedup, op6_sharding, op7_packing, op9_warc, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
