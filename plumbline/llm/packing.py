@@ -279,7 +279,7 @@ def _packed(items: DataFrame, count: int, capacity: int, seed: int) -> DataFrame
         if epoch:  # each island gets the elite of the one before it
             elite = state.select("block", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.slice("population", 1, 1).alias("elite"))
             state = state.join(elite, ["block", "island"]).select("block", "sizes", "island", F.concat("population", "elite").alias("population"))
-        state = written(state.repartition("block", "island").mapInPandas(run, schema), "islands")
+        state = written(state.repartition(max(1, blocks * ISLANDS // 16), "block", "island").mapInPandas(run, schema), "islands")
     bins = lambda genes: F.array_max(genes) + 1
     elite = state.select("block", F.struct(bins(F.col("population")[0]).alias("bins"), "island", F.col("population")[0].alias("genes")).alias("elite"))
     best = elite.groupBy("block").agg(F.min("elite").alias("elite"))
