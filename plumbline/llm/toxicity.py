@@ -26,14 +26,14 @@ BUCKETS = 1 << 18
 DIMENSIONS = 8
 GRAMS = (3, 4, 5)
 #: Most rows of each class that the classifier is fitted on, and the longest text among them, in characters.
-SAMPLE = 4000
+SAMPLE = 2500
 LONGEST = 1_000_000
 #: A text is called toxic from this score on.
 THRESHOLD = 0.3
 #: Passes over the sample; more where they would make fewer than STEPS steps.
 EPOCHS = 6
-STEPS = 160
-BATCH = 256
+STEPS = 240
+BATCH = 128
 #: n-grams of fewer sample texts keep a zero vector: they can only tell single texts apart.
 LEAST = 10
 RATE = 0.05
@@ -113,16 +113,20 @@ class _Bag:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         sample, at = sample[order], rank[at]
-        parts = [grams(data, starts[sample[i:j]], ends[sample[i:j]]) for i, j in _slices(len(sample), ends[sample] - starts[sample] + 2)]
-        self.bucket = np.concatenate([p[0] for p in parts]).astype(np.int32)
-        counts = np.concatenate([np.bincount(p[1]) for p in parts]) if parts else np.zeros(0, np.int64)
-        self.gram_start = np.r_[0, np.cumsum(counts)]
-        self.word, self.first = at.astype(np.int32), first
-        # n-grams by the number of texts that hold them
-        text = np.repeat(np.arange(len(texts)), np.diff(first))
-        pair = np.unique(text * np.int64(len(sample) + 1) + at)
+        # texts that hold each word, and by them those that hold each n-gram
+        text = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(first))
+        pair = np.unique(text * (len(sample) + 1) + at)
         texts_of_word = np.bincount(pair % (len(sample) + 1), minlength=len(sample))
-        seen = np.bincount(self.bucket, np.repeat(texts_of_word, counts), BUCKETS)
+        del text, pair
+        buckets, counts, seen = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], np.zeros(BUCKETS)
+        for i, j in _slices(len(sample), ends[sample] - starts[sample] + 2, 1 << 18):
+            bucket, owner = grams(data, starts[sample[i:j]], ends[sample[i:j]])
+            seen += np.bincount(bucket, texts_of_word[i:j][owner], BUCKETS)
+            buckets.append(bucket.astype(np.int32))
+            counts.append(np.bincount(owner, minlength=j - i))
+        self.bucket = np.concatenate(buckets)
+        self.gram_start = np.r_[0, np.cumsum(np.concatenate(counts))]
+        self.word, self.first = at.astype(np.int32), first
         self.usual = (seen >= LEAST).astype(np.float32)
 
     def batch(self, texts: np.ndarray):
