@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, pii, sentencepiece_bpe, sharding, toxicity, warc
+from . import exact_dedup, neighbours, packing, pii, sentencepiece_bpe, sharding, toxicity, warc
 from ._spark import table
 
 
@@ -33,6 +33,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, warc.write_records(table(spark, sf_dir, "pages"), min_bytes=0)).drop("url")
 
@@ -42,7 +46,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_pii, op4_exact_dedup, op6_sharding, op7_packing, op9_warc, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_toxicity, op3_pii, op4_exact_dedup, op6_sharding, op7_packing, op8_neighbours, op9_warc, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
