@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, neighbours, packing, pii, sentencepiece_bpe, sharding, toxicity, warc
+from . import exact_dedup, lm, neighbours, packing, pii, sentencepiece_bpe, sharding, toxicity, warc
 from ._spark import table
 
 
@@ -25,6 +25,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).drop("source")
 
@@ -46,7 +50,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_pii, op4_exact_dedup, op6_sharding, op7_packing, op8_neighbours, op9_warc, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_toxicity, op3_pii, op4_exact_dedup, op5_lm, op6_sharding, op7_packing, op8_neighbours, op9_warc, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
