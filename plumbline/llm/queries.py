@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, lm, neighbours, packing, pii, sentencepiece_bpe, sharding, toxicity, warc
+from . import exact_dedup, jaccard, lm, neighbours, packing, pii, sentencepiece_bpe, sharding, toxicity, warc
 from ._spark import table
 
 
@@ -16,6 +16,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "text", F.size("__kinds").alias("n_entities"), F.col("__kinds").alias("kinds"))
@@ -50,7 +54,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_pii, op4_exact_dedup, op5_lm, op6_sharding, op7_packing, op8_neighbours, op9_warc, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op3_pii, op4_exact_dedup, op5_lm, op6_sharding, op7_packing, op8_neighbours, op9_warc, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
