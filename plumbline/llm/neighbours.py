@@ -7,7 +7,8 @@ TARGET of the true ones, which brute force over the sample gives; a query goes o
 Largest inner products are nearest neighbours after each row gets one more component, sqrt(M^2 - |x|^2).
 
 Equal vectors are one class with its smallest ids, as many as an answer can use, so a vector with very many copies costs
-no more than another one. A leaf is searched in blocks of about BLOCK classes, so tasks stay bounded when the table grows.
+no more than another one. SHELF leaves are searched together,
+in blocks of about BLOCK classes, so tasks stay bounded when the table grows.
 """
 
 from __future__ import annotations
@@ -27,9 +28,11 @@ from ._spark import written
 SAMPLE = 20_000
 BRANCH = 16
 LEAF = 48
-TARGET = 0.985
+TARGET = 0.96
 CALIBRATION = 256
-BLOCK = 8192
+#: Leaves that one task searches together, and classes of them at most, roughly.
+SHELF = 32
+BLOCK = 16_384
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -179,8 +182,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
 
     index = written(classes.mapInPandas(indexed, "leaf int, cid long, vec binary, ids array<long>"), "index")
     sizes = {r["leaf"]: r["n"] for r in index.groupBy("leaf").agg(F.sum(F.size("ids")).alias("n")).collect()}  # a row for each leaf of the tree
-    blocks = max(1, -(-classes.count() // (BLOCK * max(1, len(tree.leaf_of)))))
+    blocks = max(1, -(-classes.count() // (BLOCK * -(-len(tree.leaf_of) // SHELF))))
     asked = rows.where(F.col("vec_id") % every == 0).select("vec_id", "vec").distinct()
+    asked = written(asked.join(classes.select("vec", F.col("cid").alias("qid")), "vec").select("vec_id", "qid", "vec"), "queries")
 
     def routed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = shared.value
@@ -188,41 +192,45 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
             if not len(f):
                 continue
             out = []
-            for vec, walk in zip(f["vec"], t.order(t.extend(_matrix(f["vec"]), query=True)), strict=True):
-                held = 0
+            for qid, vec, walk in zip(f["qid"], f["vec"], t.order(t.extend(_matrix(f["vec"]), query=True)), strict=True):
+                held, shelves = 0, {}
                 for n, leaf in enumerate(walk):
                     if n >= t.visits and held > 2 * k:
                         break
                     if leaf in sizes:
                         held += sizes[leaf]
-                        out.append((vec, leaf))
-            yield pd.DataFrame(out, columns=["vec", "leaf"])
+                        shelves.setdefault(leaf // SHELF, []).append(leaf % SHELF)
+                out += [(qid, vec, shelf, leaves) for shelf, leaves in shelves.items()]
+            yield pd.DataFrame(out, columns=["qid", "vec", "shelf", "leaves"])
 
-    visits = asked.select("vec").distinct().mapInPandas(routed, "vec binary, leaf int")
-    visits = visits.select("vec", "leaf", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    visits = asked.select("qid", "vec").distinct().mapInPandas(routed, "qid long, vec binary, shelf int, leaves array<int>")
+    visits = visits.select("qid", "vec", "shelf", "leaves", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
     def search(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        none = np.zeros(0, np.int64)
+        found = [(none, none, np.zeros(0))]
         if len(q) and len(x):
-            have = _matrix(x["vec"])
-            ids = x["ids"].to_numpy()
+            have, cid, leaf = _matrix(x["vec"]), x["cid"].to_numpy(), x["leaf"].to_numpy() % SHELF
             most = min(k + 1, len(x))
-            for i in range(0, len(q), 512):
-                part = q["vec"].iloc[i : i + 512]
-                asking = _matrix(part)
-                products = asking @ have.T
-                best = np.argpartition(-products, most - 1, axis=1)[:, :most]
+            for i in range(0, len(q), 256):
+                asking, qid = _matrix(q["vec"].iloc[i : i + 256]), q["qid"].to_numpy()[i : i + 256]
+                visited = np.zeros((len(qid), SHELF), bool)
+                for row, leaves in enumerate(q["leaves"].iloc[i : i + 256]):
+                    visited[row, leaves] = True
+                away = np.where(visited[:, leaf], -(asking @ have.T), np.inf)
+                best = np.argpartition(away, most - 1, axis=1)[:, :most]
+                hit = np.isfinite(np.take_along_axis(away, best, 1))
                 exact = (asking[:, None, :] * have[best]).sum(2)
-                found += [(vec, float(s), list(ids[c])) for vec, cs, ss in zip(part, best, exact, strict=True) for c, s in zip(cs, ss, strict=True)]
-        return pd.DataFrame(found, columns=["vec", "score", "ids"])
-
-    by_block = index.withColumn("block", F.pmod(F.col("cid"), F.lit(blocks)).cast("int"))
-    found = visits.groupBy("leaf", "block").cogroup(by_block.select("leaf", "block", "vec", "ids").groupBy("leaf", "block")).applyInPandas(search, "vec binary, score double, ids array<long>")
-    # at most (leaves visited) * blocks * (k + 1) classes for each query vector
-    ranked = Window.partitionBy("vec").orderBy(F.desc("score"), F.col("ids")[0])
-    kept = found.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= k + 1)
-    lists = written(kept.groupBy("vec").agg(F.collect_list(F.struct("score", "ids")).alias("found")), "found")
+                found.append((np.broadcast_to(qid[:, None], hit.shape)[hit], cid[best][hit], exact[hit]))
+        return pd.DataFrame({c: np.concatenate([f[j] for f in found]) for j, c in enumerate(("qid", "cid", "score"))})
+
+    by_block = index.withColumn("block", F.pmod(F.col("cid"), F.lit(blocks)).cast("int")).withColumn("shelf", F.floor(F.col("leaf") / SHELF).cast("int"))
+    found = visits.groupBy("shelf", "block").cogroup(by_block.select("shelf", "block", "leaf", "cid", "vec").groupBy("shelf", "block")).applyInPandas(search, "qid long, cid long, score double")
+    # the k + 1 best classes of a query and those that tie with the last of them
+    ranked = Window.partitionBy("qid").orderBy(F.desc("score"))
+    kept = written(found.withColumn("r", F.rank().over(ranked)).where(F.col("r") <= k + 1).select("qid", "cid", "score"), "found")
+    lists = kept.join(classes.select("cid", "ids"), "cid").groupBy("qid").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
     pairs = F.flatten(F.transform("found", lambda c: F.transform(c["ids"], lambda i: F.struct((-c["score"]).alias("minus"), i.alias("vec_id")))))
-    near = asked.withColumnRenamed("vec_id", "query_id").join(lists, "vec")
+    near = asked.select(F.col("vec_id").alias("query_id"), "qid").join(lists, "qid")
     near = near.withColumn("near", F.slice(F.array_sort(F.filter(pairs, lambda p: p["vec_id"] != F.col("query_id"))), 1, k))
     return near.select("query_id", F.posexplode("near").alias("at", "p")).select("query_id", (F.col("at") + 1).alias("rank"), F.col("p.vec_id").alias("vec_id"), (-F.col("p.minus")).alias("score"))
