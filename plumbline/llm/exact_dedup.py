@@ -69,15 +69,19 @@ def block_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return done
 
 
+def _kept(names: DataFrame) -> DataFrame:
+    """names with keep_id and group_size; groups are written first, so a group with very many rows is a plain skewed join."""
+    groups = written(names.groupBy("level", "name").agg(F.max("id").alias("keep_id"), F.sum("copies").alias("group_size")), "groups")
+    return names.join(groups, ["level", "name"])
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of equal texts the row with the largest id stays. Of several rows with that id and text, one stays. A null id
     loses to any other; where all ids of a group are null, one of its rows stays and keep_id is null.
     """
-    names = block_names(docs, id_col, text_col, block)
-    groups = names.groupBy("level", "name").agg(F.max("id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    out = names.join(groups, ["level", "name"])
+    out = _kept(block_names(docs, id_col, text_col, block))
     one = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")
     return out.select("id", "keep_id", "group_size", "text_sha256", one).select(
         F.col("id").alias("doc_id"),
@@ -90,7 +94,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns; of rows with equal id and text, one."""
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    rows = docs.dropDuplicates([id_col, text_col])
+    names = block_names(docs, id_col, text_col)
+    kept = _kept(names).where(F.col("id").eqNullSafe(F.col("keep_id"))).select(F.col("id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    rows = docs.dropDuplicates([id_col, text_col]) if names.where("copies > 1").limit(1).count() else docs
     sha = F.sha2(utf8(F.col(text_col)), 256)
     return rows.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_semi")
