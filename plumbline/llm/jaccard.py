@@ -11,10 +11,12 @@ is at least PERCENT / 100; the result is every text's component over the links.
 4. Prefix filter: sets that link share one of their first n - ceil(0.75 n) + 1 n-grams. For each n-gram, the pairs of
    classes that hold it there, that aren't connected yet and whose lengths and places admit a link are candidates. N-grams of more
    than GROUP classes are handled apart, in cells of bounded size, after classes that are connected already have been set aside.
-5. Candidates are compared in a prefix tree: the partners of a class, as ordered sets, lie in a path-compressed trie; one
+5. Parity sketches (a bit for each n-gram or so) differ in no more bits than two sets differ in n-grams; candidates whose
+   sketches differ in more than a link allows are dropped, so whole sets are moved for few pairs.
+6. The others are compared in a prefix tree: the partners of a class, as ordered sets, lie in a path-compressed trie; one
    walk down it with the class's own set shares the overlap of common beginnings and leaves out subtrees whose remaining
    lengths can't reach the overlap that a link needs.
-6. Links give components by label propagation over tables in the shared folder.
+7. Links give components by label propagation over tables in the shared folder.
 
 Only prefixes and the sets of candidates cross the network, never whole texts. A class's copies cost one row a task.
 """
@@ -95,6 +97,37 @@ def _class(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return mix(one + np.diff(bounds).astype(np.uint64)).view(np.int64), two.view(np.int64)
 
 
+def _sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """For each set the parities of its hashes in m cells, m being the power of two from its size on."""
+    out = []
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+        m = max(64, 1 << (b - a - 1).bit_length()) if b > a else 64
+        cells = (hashes[a:b] & np.uint64(m - 1)).astype(np.int64)
+        out.append(np.packbits(np.bincount(cells, minlength=m).astype(np.uint8) & 1, bitorder="little").tobytes())
+    return out
+
+
+def _distance(a: bytes, b: bytes) -> int:
+    """Differing cells; the longer sketch is folded to the length of the other one."""
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    m, n = 8 * len(a), 8 * len(b)
+    while m > n:
+        m >>= 1
+        x = (x >> m) ^ (x & ((1 << m) - 1))
+    while n > m:
+        n >>= 1
+        y = (y >> n) ^ (y & ((1 << n) - 1))
+    return (x ^ y).bit_count()
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) whose sketches admit a link, from (a, b, na, nb, sa, sb)."""
+    for batch in batches:
+        a, b, na, nb, sa, sb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "sa", "sb"))
+        keep = [_distance(x, y) <= m + n - 2 * needed(m, n) for m, n, x, y in zip(na, nb, sa, sb, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(a, keep, strict=True) if k], pa.int64()), pa.array([x for x, k in zip(b, keep, strict=True) if k], pa.int64())], ["a", "b"])
+
+
 class Order:
     """The global order as sortable keys: six bits of how common an n-gram is, then its hash."""
 
@@ -119,8 +152,8 @@ class Order:
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each text (doc_id, place, n, cid, check, stars), and for each n-gram of two texts of this task or more (ngram, df)."""
-    names = ["doc_id", "place", "n", "cid", "check", "stars", "ngram", "df"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int32()]
+    names = ["doc_id", "place", "n", "cid", "check", "stars", "sketch", "ngram", "df"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.int32()]
     seen: set[int] = set()
     held: list[np.ndarray] = []
     counted: list[tuple[np.ndarray, np.ndarray]] = []
@@ -145,8 +178,8 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if sum(map(len, held)) > 6_000_000:
                 count()
             list_ = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * STARS, pa.int32()), pa.array(stars.view(np.int64).ravel()))
-            none = [pa.nulls(len(n), k) for k in kinds[6:]]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("place"), pa.array(n.astype(np.int32)), pa.array(cid), pa.array(check), list_, *none], names)
+            none = [pa.nulls(len(n), k) for k in kinds[7:]]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("place"), pa.array(n.astype(np.int32)), pa.array(cid), pa.array(check), list_, pa.array(_sketches(hashes, bounds), pa.binary()), *none], names)
     count()
     if counted:
         keys, counts = np.concatenate([c[0] for c in counted]), np.concatenate([c[1] for c in counted])
@@ -156,7 +189,7 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = keys[often], counts[often].astype(np.int32)
         for i in range(0, len(keys), 1 << 16):
             k = keys[i : i + (1 << 16)].view(np.int64)
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(k), t) for t in kinds[:6]], pa.array(k), pa.array(counts[i : i + (1 << 16)])], names)
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(k), t) for t in kinds[:7]], pa.array(k), pa.array(counts[i : i + (1 << 16)])], names)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[pa.Array]]:
@@ -340,14 +373,14 @@ class Join:
         self.spark = docs.sparkSession
         place = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(1 << BITS))
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), place.alias("place"))
-        schema = "doc_id long, place long, n int, cid long, check long, stars array<long>, ngram long, df int"
+        schema = "doc_id long, place long, n int, cid long, check long, stars array<long>, sketch binary, ngram long, df int"
         every = written(self.docs.mapInArrow(_profiles, schema), "profiles")
-        self.rows = every.where("n is not null").select("doc_id", "place", "n", "cid", "check", "stars")
+        self.rows = every.where("n is not null").select("doc_id", "place", "n", "cid", "check", "stars", "sketch")
         common = every.where("ngram is not null").groupBy("ngram").agg(F.sum("df").alias("df")).where(F.col("df") >= OFTEN)
         common = common.orderBy(F.desc("df"), "ngram").limit(COMMON).toPandas()
         self.order = self.spark.sparkContext.broadcast(Order(common["ngram"].to_numpy().astype(np.int64).view(np.uint64), common["df"].to_numpy().astype(np.int64)))
-        classes = self.rows.where("n > 0").groupBy("cid").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.min("n").alias("n"), F.min("check").alias("c"), F.max("check").alias("d"), F.first("stars").alias("stars"))
-        self.classes = written(classes.select("cid", F.col("first.place").alias("place"), "n", (F.col("c") != F.col("d")).alias("clash"), "stars"), "classes")
+        classes = self.rows.where("n > 0").groupBy("cid").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.min("n").alias("n"), F.min("check").alias("c"), F.max("check").alias("d"), F.first("stars").alias("stars"), F.first("sketch").alias("sketch"))
+        self.classes = written(classes.select("cid", F.col("first.place").alias("place"), "n", (F.col("c") != F.col("d")).alias("clash"), "stars", "sketch"), "classes")
         if self.classes.where("clash").limit(1).count():
             raise RuntimeError("two different sets share a 64-bit hash")
 
@@ -383,7 +416,8 @@ class Join:
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that link."""
-        pairs = written(pairs.select("a", "b"), "pairs")
+        of = lambda c: self.classes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+        pairs = written(pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").mapInArrow(_near, "a long, b long"), "pairs")
         sets = self.sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
         sizes = written(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "sizes")
         cells = pairs.join(sizes, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
