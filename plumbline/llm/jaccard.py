@@ -11,7 +11,7 @@ is at least PERCENT / 100; the result is every text's component over the links.
 4. Prefix filter: sets that link share one of their first n - ceil(0.75 n) + 1 n-grams. For each n-gram, the pairs of
    classes that hold it there, that aren't connected yet and whose lengths and places admit a link are candidates. N-grams of more
    than GROUP classes are handled apart, in cells of bounded size, after classes that are connected already have been set aside.
-5. Parity sketches (a bit for each n-gram or so) differ in no more bits than two sets differ in n-grams; candidates whose
+5. Parity sketches (four bits or more for each n-gram) differ in no more bits than two sets differ in n-grams; candidates whose
    sketches differ in more than a link allows are dropped, so whole sets are moved for few pairs.
 6. The others are compared in a prefix tree: the partners of a class, as ordered sets, lie in a path-compressed trie; one
    walk down it with the class's own set shares the overlap of common beginnings and leaves out subtrees whose remaining
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._spark import components, written
@@ -40,7 +40,11 @@ STARS = 6
 OFTEN = 32
 COMMON = 500_000
 GROUP = 48
-CELL = 8192
+CELL = 4096
+#: Rounds over common n-grams before the exact one: how many n-grams of a class, how many nearest classes.
+ROUNDS = ((4, 4), (4, 32))
+#: Bits of the sketches that cells compare; longer ones are folded to them.
+SHORT = 1024
 BLOCK = 256
 BITS = 25
 MASK = np.uint64((1 << 58) - 1)
@@ -98,10 +102,10 @@ def _class(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """For each set the parities of its hashes in m cells, m being the power of two from its size on."""
+    """For each set the parities of its hashes in m cells, m being the power of two from four times its size on, SHORT at least."""
     out = []
     for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
-        m = max(64, 1 << (b - a - 1).bit_length()) if b > a else 64
+        m = max(SHORT, 1 << (4 * (b - a)).bit_length())
         cells = (hashes[a:b] & np.uint64(m - 1)).astype(np.int64)
         out.append(np.packbits(np.bincount(cells, minlength=m).astype(np.uint8) & 1, bitorder="little").tobytes())
     return out
@@ -259,32 +263,45 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pairs()
 
 
-def _cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells of a common n-gram's rows (ngram, low, high, own, cid, place, root) to candidate pairs of classes that aren't connected."""
+def _short(sketch: bytes) -> np.ndarray:
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, SHORT // 64), axis=0)
+
+
+def _cell_pairs(batches: Iterator[pa.RecordBatch], nearest: int | None) -> Iterator[pa.RecordBatch]:
+    """Cells of a common n-gram's rows (ngram, low, high, own, cid, place, root, sketch) to candidate pairs of classes that aren't connected.
+
+    With `nearest` only that many partners of each class, those with the nearest sketches.
+    """
     for columns in _grouped(batches, ["ngram", "low", "high"]):
-        gram, low, high, own, cid, place, root = (c.to_numpy(zero_copy_only=False) for c in columns)
+        gram, low, high, own, cid, place, root = (c.to_numpy(zero_copy_only=False) for c in columns[:7])
         n, p = place >> 32, place & 0xFFFFFFFF
         start = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
         for i, j in zip(start, np.r_[start[1:], len(gram)], strict=True):
             rows = np.arange(i, j)
+            if (root[rows] == root[i]).all():
+                continue
             left, right = rows[own[rows] == low[i]], rows[own[rows] == high[i]]
-            if len(left) > len(right):
-                left, right = right, left
-            roots, sizes = np.unique(root[right], return_counts=True)
-            if len(roots) == 1:
-                left = left[root[left] != roots[0]]
-            elif low[i] == high[i]:  # those of the largest component meet the others from their side
-                left = left[root[left] != roots[np.argmax(sizes)]]
-            out: list[np.ndarray] = []
-            for x in left.tolist():
-                y = right[(root[right] != root[x]) & _admits(n[x], p[x], n[right], p[right])]
-                if len(y):
-                    out.append(np.stack([np.minimum(cid[x], cid[y]), np.maximum(cid[x], cid[y])], 1))
-                if len(out) > 4000 or x == left[-1]:
-                    if out:
-                        every = np.unique(np.concatenate(out), axis=0)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(every[:, 0])), pa.array(np.ascontiguousarray(every[:, 1]))], ["a", "b"])
-                    out = []
+            sketch = {int(k): _short(columns[7][k].as_py()) for k in rows}
+            x, y = np.array([sketch[int(k)] for k in left]), np.array([sketch[int(k)] for k in right])
+            held: list[np.ndarray] = []
+            for a in range(0, len(left), 64):
+                part = left[a : a + 64]
+                apart = np.bitwise_count(x[a : a + 64, None, :] ^ y[None]).sum(2, dtype=np.int64) if len(y) else np.zeros((len(part), 0), np.int64)
+                u, v = part[:, None], right[None, :]
+                fit = (root[u] != root[v]) & _admits(n[u], p[u], n[v], p[v]) & (apart <= n[u] + n[v] - 2 * needed(n[u], n[v]))
+                if nearest is not None and fit.shape[1] > nearest:
+                    apart = np.where(fit, apart, 1 << 40)
+                    best = np.argpartition(apart, nearest - 1, axis=1)[:, :nearest]
+                    only = np.zeros_like(fit)
+                    np.put_along_axis(only, best, True, axis=1)
+                    fit &= only
+                k, m = np.nonzero(fit)
+                if len(k):
+                    one, two = cid[part[k]], cid[right[m]]
+                    held.append(np.stack([np.minimum(one, two), np.maximum(one, two)], 1))
+            if held:
+                every = np.unique(np.concatenate(held), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(every[:, 0])), pa.array(np.ascontiguousarray(every[:, 1]))], ["a", "b"])
 
 
 class Trie:
@@ -462,21 +479,31 @@ class Join:
 
         return self.docs.select("text").mapInArrow(run, "ngram long, cid long, place long")
 
-    def candidates(self, root: DataFrame) -> DataFrame:
-        """Pairs of classes that may link and have different roots; root: (id, root) of connected classes."""
+    def prefix_pairs(self) -> tuple[DataFrame, DataFrame]:
+        """(pairs (a, b) that share an n-gram of few classes, rows (ngram, cid, place) of those with many)."""
         rows = self.prefixes().repartition("ngram").sortWithinPartitions("ngram", "cid")
         found = written(rows.mapInArrow(_candidates, "a long, b long, ngram long, cid long, place long"), "candidates")
-        pairs = written(found.where("a is not null").select("a", "b").distinct(), "pairs")
+        return found.where("a is not null").select("a", "b").distinct(), found.where("ngram is not null").select("ngram", "cid", "place")
+
+    @staticmethod
+    def apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
+        """Pairs of classes that aren't connected by root (id, root)."""
         of = lambda c: root.select(F.col("id").alias(c), F.col("root").alias(f"{c}_root"))
-        pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
-        many = found.where("ngram is not null").select("ngram", "cid", "place")
-        many = written(many.join(of("cid"), "cid", "left").select("ngram", "cid", "place", F.coalesce("cid_root", "cid").alias("root")), "many")
-        sizes = written(many.groupBy("ngram").agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("ngram", F.ceil(F.col("g") / CELL).cast("int").alias("cells")), "sizes")
-        cells = many.join(sizes, "ngram").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("cells")).cast("int"))
+        return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+
+    def common_pairs(self, many: DataFrame, root: DataFrame, grams: int | None = None, nearest: int | None = None) -> DataFrame:
+        """Candidate pairs among the rows of n-grams with many classes; grams: only so many n-grams of each class."""
+        if grams is not None:
+            rank = F.row_number().over(Window.partitionBy("cid").orderBy("place", "ngram"))
+            many = many.withColumn("r", rank).where(F.col("r") <= grams).drop("r")
+        named = many.join(root.withColumnRenamed("id", "cid"), "cid", "left").join(self.classes.select("cid", "sketch"), "cid")
+        named = written(named.select("ngram", "cid", "place", F.coalesce("root", "cid").alias("root"), "sketch"), "common")
+        sizes = written(named.groupBy("ngram").agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("ngram", F.ceil(F.col("g") / CELL).cast("int").alias("cells")), "sizes")
+        cells = named.join(sizes, "ngram").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("cells")).cast("int"))
         cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-        cells = cells.select("ngram", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "cid", "place", "root")
+        cells = cells.select("ngram", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "cid", "place", "root", "sketch")
         cells = cells.repartition("ngram", "low", "high").sortWithinPartitions("ngram", "low", "high")
-        return pairs.union(cells.mapInArrow(_cell_pairs, "a long, b long")).distinct()
+        return cells.mapInArrow(lambda b: _cell_pairs(b, nearest), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -488,7 +515,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     join = Join(docs, id_col, text_col)
     links = join.links(join.stars())
-    links = links.unionByName(join.links(join.candidates(components(links))))
+    few, many = join.prefix_pairs()
+    links = links.unionByName(join.links(join.apart(few, components(links))))
+    for grams, nearest in (*ROUNDS, (None, None)):
+        links = links.unionByName(join.links(join.common_pairs(many, components(links), grams, nearest)))
     root = components(links)
     named = join.rows.where("n > 0").join(root.withColumnRenamed("id", "cid"), "cid", "left").select("doc_id", "n", F.coalesce("root", "cid").alias("root"))
     named = written(named, "named")
