@@ -1,0 +1,46 @@
+"""Build plans: named targets with dependencies, of which only what is missing runs."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from graphlib import TopologicalSorter
+
+
+@dataclass(frozen=True)
+class Target:
+    name: str
+    build: Callable[[], None]
+    exists: Callable[[], bool]
+    needs: tuple[str, ...] = field(default=())
+
+
+def plan(targets: list[Target], wanted: list[str] | None = None, force: bool = False) -> list[str]:
+    """Names in an order that respects all dependencies: what is wanted and missing, and what that needs and is missing."""
+    by_name = {t.name: t for t in targets}
+    order = list(TopologicalSorter({t.name: t.needs for t in targets}).static_order())
+    unknown = [n for n in [*order, *(wanted or [])] if n not in by_name]
+    if unknown:
+        raise KeyError(f"no target named {unknown[0]}")
+    run: set[str] = set()
+
+    def visit(name: str) -> None:
+        t = by_name[name]
+        if name in run or (t.exists() and not force):
+            return
+        run.add(name)
+        for n in t.needs:
+            visit(n)
+
+    for name in wanted or order:
+        visit(name)
+    return [n for n in order if n in run]
+
+
+def build(targets: list[Target], wanted: list[str] | None = None, force: bool = False) -> list[str]:
+    """Builds the plan; returns the names that ran."""
+    by_name = {t.name: t for t in targets}
+    done = plan(targets, wanted, force)
+    for name in done:
+        by_name[name].build()
+    return done
