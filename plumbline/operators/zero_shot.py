@@ -36,7 +36,11 @@ def classify(items: DataFrame, protos: DataFrame, key: str, vec: str, truth: str
     """(key, pred, sim_<label>..., and with a truth column true_label and agree). A missing truth never agrees."""
     names = [r["label"] for r in protos.select("label").orderBy("label").collect()]  # a configuration table
     rows = with_bank(items, protos).withColumn("sims", V.similarities(F.col(vec), F.col("bank")))
-    sims = [F.round(F.get(F.filter("sims", lambda s, n=n: s["label"] == n), 0)["sim"], 4).alias(f"sim_{n}") for n in names]
+
+    def sim(name) -> Column:
+        return F.round(F.get(F.filter("sims", lambda s: s["label"] == name), 0)["sim"], 4).alias(f"sim_{name}")
+
+    sims = [sim(n) for n in names]
     pred = V.best(F.col("sims"))["label"]
     out = [F.col(key), pred.alias("pred"), *sims]
     if truth:
