@@ -2,31 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Gives this package's code to the executors, once for each application."""
-    if spark.sparkContext.applicationId in _shipped:
-        return
-    top = Path(__file__).resolve().parents[1]
-    path = os.path.join(os.path.realpath(tempfile.mkdtemp()), f"{top.name}.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for file in sorted(top.rglob("*.py")):
-            out.write(file, f"{top.name}/{file.relative_to(top)}")
-    spark.sparkContext.addPyFile(path)
-    _shipped.add(spark.sparkContext.applicationId)
+from ..session import ship
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -179,7 +179,7 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     seen.add(c)
                     new[t] = True
             held.append(hashes[np.repeat(new, n)])
-            if sum(map(len, held)) > 6_000_000:
+            if sum(map(len, held)) > 3_000_000:
                 count()
             list_ = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * STARS, pa.int32()), pa.array(stars.view(np.int64).ravel()))
             none = [pa.nulls(len(n), k) for k in kinds[7:]]
