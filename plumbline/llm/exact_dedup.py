@@ -49,7 +49,9 @@ def block_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     level = written(
         spread.join(names, "digest").select("id", "text_sha256", "n", "pos", "name", F.lit(1).cast("bigint").alias("copies")), "level0"
     )
-    done = level.where("n = 1").select("id", "text_sha256", F.lit(0).alias("level"), "name", "copies")
+    # repeated rows meet here, and below where pairs are formed
+    done = level.where("n = 1").groupBy("id", "text_sha256", "name").agg(F.sum("copies").alias("copies"))
+    done = done.select("id", "text_sha256", F.lit(0).alias("level"), "name", "copies")
     left, depth = level.where("n > 1"), 0
     most = left.agg(F.max("n")).first()[0] or 1
     while most > 1:
