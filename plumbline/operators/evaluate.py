@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratios as R
 from ..functions.labels import confidence_of
+from ..functions.order import running
 
 #: What a human may have written, and what it means; anything else isn't scored.
 HUMAN = {"si": True, "no": False}
@@ -107,8 +108,7 @@ def containment(rows: DataFrame, truths: str, pred: str, targets: list[str]) ->
 def average_rank(rows: DataFrame, column: str, out: str) -> DataFrame:
     """(value, average rank) for each distinct value, from counts; the values, not the rows, are ordered."""
     counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return counts.select("value", (F.sum("n").over(w) - (F.col("n") - 1) / 2).alias(out))
+    return running(counts, ["value"], F.col("n"), "before").select("value", (F.col("before") + (F.col("n") + 1) / 2).alias(out))
 
 
 def correlations(rows: DataFrame, a: str, b: str) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, StringType, StructType
 
 from .. import schemas
+from ..functions.order import running
 
 CSV = {"header": "true", "escape": '"', "multiLine": "true"}
 
@@ -134,17 +135,9 @@ def pending_reviews(rows: DataFrame, reviews: DataFrame, keys: list[str]) -> Dat
     return rows.join(reviews.where("status = 'ok'").select(*keys).distinct(), keys, "left_anti")
 
 
-def with_position(rows: DataFrame, order: list[str], name: str = "position", buckets: int = 256) -> DataFrame:
-    """Global positions from 0 in the given order, without one task that sorts everything.
-
-    Rows are range-partitioned and numbered within their partition; partitions are offset by the counts of those before.
-    """
-    sorted_ = rows.repartitionByRange(buckets, *order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
-    part = F.shiftright("__m", 33)
-    counts = sorted_.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))  # a row for each bucket
-    starts = counts.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__start"))
-    here = sorted_.withColumn("__p", part).withColumn("__i", F.col("__m") - F.shiftleft(F.shiftright("__m", 33), 33))
-    return here.join(F.broadcast(starts), "__p").withColumn(name, F.col("__start") + F.col("__i")).drop("__p", "__m", "__i", "__start")
+def with_position(rows: DataFrame, order: list[str], name: str = "position") -> DataFrame:
+    """Global positions from 0 in the given order, counted by buckets and then within them; no task sorts everything."""
+    return running(rows, order, F.lit(1), name)
 
 
 def shard(rows: DataFrame, index: int, count: int, position: str = "position") -> DataFrame:

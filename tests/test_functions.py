@@ -240,3 +240,19 @@ def test_palette_is_stable(spark):
     one = palette.palettes(frame, "id", ["l", "a", "b"], "w", clusters=3).first()
     two = palette.palettes(frame.repartition(3), "id", ["l", "a", "b"], "w", clusters=3).first()
     assert one == two and abs(sum(one["shares"]) - 1) < 0.01 and len(one["centres"]) == 3
+
+
+def test_quantiles_and_positions(spark):
+    import numpy as np
+
+    from plumbline.functions import order
+
+    r = np.random.default_rng(3)
+    for values in ([1.0], [2.0, 1.0], [5.0] * 9 + [7.0], r.normal(size=5000).tolist(), r.integers(0, 6, 3000).astype(float).tolist()):
+        frame = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double")
+        got = order.quantiles(frame, "x", (0.0, 0.2, 0.5, 0.95, 1.0)).first()["edges"]
+        assert got == pytest.approx(np.quantile(values, (0.0, 0.2, 0.5, 0.95, 1.0)).tolist())
+    words = [f"w{int(k):04d}" for k in r.permutation(700)]
+    frame = spark.createDataFrame([(w, k) for k, w in enumerate(words)], "w string, k int")
+    got = order.running(frame, ["w"], F.lit(1), "p").collect()
+    assert {x["w"]: x["p"] for x in got} == {w: i for i, w in enumerate(sorted(words))}
