@@ -57,10 +57,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op3_pii, op4_exact_dedup, op5_lm, op6_sharding, op7_packing, op8_neighbours, op9_warc, op10_sentencepiece)}
 
 
+# A-Z and a-z, and the digits of base32 (RFC 4648).
+_UPPER, _LOWER, _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
 def oracle_sql() -> dict[str, str]:
+    # five hexadecimal digits at a time are four of base32
+    digits = " || ".join(f"substr('{_BASE32}', CAST(((CAST('0x' || substr(h, {k + 1}, 5) AS BIGINT) >> {b}) & 31) AS INTEGER) + 1, 1)" for k in range(0, 40, 5) for b in (15, 10, 5, 0))
     return {
+        "op2_jaccard_join": rf"""
+            WITH RECURSIVE t AS (SELECT doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+') if x <> ''] AS w FROM documents),
+            g AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)] WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM t),
+            s AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM g),
+            l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+            r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON r.doc_id = l.a)
+            SELECT doc_id, any_value(n) AS n_shingles, min(root) AS component_id FROM r JOIN (SELECT doc_id, len(g) AS n FROM g) USING (doc_id) GROUP BY doc_id""",
         "op4_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                    doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+        "op9_warc": f"""
+            WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+            SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {digits} AS payload_digest,
+                   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM p""",
     }

@@ -11,6 +11,7 @@ Only the vocabulary and the scores are read from the model file; ids are compute
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import heapq
 from collections.abc import Iterator
@@ -28,6 +29,9 @@ LONG = 400
 UNSEEN = 0  # class of characters that occur in no piece
 
 
+codecs.register_error("replace-bytes", lambda e: ("\ufffd", e.start + 1))
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -73,8 +77,8 @@ class Vocabulary:
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_rank = np.array([pairs[int(k)][0] for k in self.pair_keys], np.int64)
         self.pair_id = np.array([pairs[int(k)][1] for k in self.pair_keys], np.int64)
-        bytes_of = {i: bytes([b]) for b, i in self.byte_id.items()}
-        self.piece_bytes = [bytes_of[i] if i in bytes_of else b"" if p.is_control(i) else " ⁇ ".encode() if i == self.unk else t.replace("▁", " ").encode() for i, t in enumerate(text)]
+        self.bytes_of = {i: bytes([b]) for b, i in self.byte_id.items()}
+        self.piece_bytes = [self.bytes_of[i] if i in self.bytes_of else b"" if p.is_control(i) else " ⁇ ".encode() if i == self.unk else t.replace("▁", " ").encode() for i, t in enumerate(text)]
         self.decimal = [str(i).encode() + b"," for i in range(n)]
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,16 +239,17 @@ def encode(texts: list[str], model: str | None = None) -> list[list[int]]:
 def decode(ids: list[int], model: str | None = None) -> str:
     """The text of ids; the dummy prefix goes."""
     v = vocabulary(model or default_model())
-    return _text(b"".join(v.piece_bytes[i] for i in ids)).decode()
+    raw = b"".join(v.piece_bytes[i] for i in ids)
+    return _text(raw, bool(ids) and ids[0] not in v.bytes_of).decode()
 
 
-def _text(raw: bytes) -> bytes:
+def _text(raw: bytes, prefixed: bool = True) -> bytes:
     """Bytes of pieces to a text: without the dummy prefix, broken UTF-8 replaced byte by byte."""
-    raw = raw[1:] if raw[:1] == b" " else raw
+    raw = raw[1:] if prefixed and raw[:1] == b" " else raw
     try:
         raw.decode()
     except UnicodeDecodeError:
-        raw = raw.decode("utf-8", "replace").encode()
+        raw = raw.decode("utf-8", "replace-bytes").encode()
     return raw
 
 
