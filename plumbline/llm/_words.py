@@ -20,7 +20,7 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
 #: Bytes hashed at once; bounds the arrays of eight bytes for each byte of text.
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -90,7 +90,7 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return data, starts, ends, np.searchsorted(starts, offsets)
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batch with about that many bytes of text each; one text is never cut."""
     a = batch.column(column).cast(pa.large_binary())
     if not len(a):

@@ -34,7 +34,7 @@ CROSSOVERS = 6
 #: Bins below this share of CAPACITY are dissolved and packed again across blocks.
 POOR = 0.99
 #: Encoded words that a Python worker remembers; only speed depends on it.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 
 def default_tokenizer() -> str:

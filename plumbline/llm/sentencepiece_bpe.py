@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._words import mix, pieces
+from ._words import CHUNK, mix, pieces
 
 SPACE = 0x2581
 NONE = np.iinfo(np.int64).max
@@ -219,7 +219,7 @@ def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + (1 << 21), "right")))
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + CHUNK, "right")))
         lo, hi = int(starts[i]), int(ends[j - 1])
         power, inverse = powers(1 << max(12, (hi - lo).bit_length()))
         total = np.zeros(hi - lo + 1, np.uint64)
@@ -264,7 +264,7 @@ def encoded(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model)
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", 8 << 20):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 ids, word, first = encode_words(v, texts)
                 size = np.array([len(x) for x in ids], np.int64)

@@ -26,7 +26,7 @@ BUCKETS = 1 << 18
 DIMENSIONS = 8
 GRAMS = (3, 4, 5)
 #: Most rows of each class that the classifier is fitted on, and the longest text among them, in characters.
-SAMPLE = 2500
+SAMPLE = 2000
 LONGEST = 1_000_000
 #: A text is called toxic from this score on.
 THRESHOLD = 0.3
@@ -68,7 +68,7 @@ def grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     return bucket[order].astype(np.int64), owner[order]
 
 
-def _slices(n: int, sizes: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _slices(n: int, sizes: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     i = 0
     total = np.r_[0, np.cumsum(sizes)]
     while i < n:
@@ -119,7 +119,7 @@ class _Bag:
         texts_of_word = np.bincount(pair % (len(sample) + 1), minlength=len(sample))
         del text, pair
         buckets, counts, seen = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], np.zeros(BUCKETS)
-        for i, j in _slices(len(sample), ends[sample] - starts[sample] + 2, 1 << 18):
+        for i, j in _slices(len(sample), ends[sample] - starts[sample] + 2):
             bucket, owner = grams(data, starts[sample[i:j]], ends[sample[i:j]])
             seen += np.bincount(bucket, texts_of_word[i:j][owner], BUCKETS)
             buckets.append(bucket.astype(np.int32))
