@@ -39,6 +39,8 @@ STARS = 6
 #: An n-gram is common from this count on; the list's length bounds what is broadcast (9 bytes each).
 OFTEN = 32
 COMMON = 500_000
+#: n-grams that a task counts at once, about; those of one text among them aren't reported.
+WINDOW = 3_000_000
 GROUP = 48
 CELL = 4096
 #: Rounds over common n-grams before the exact one: how many n-grams of a class, how many nearest classes.
@@ -155,17 +157,24 @@ class Order:
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text (doc_id, place, n, cid, check, stars), and for each n-gram of two texts of this task or more (ngram, df)."""
+    """A row for each text (doc_id, place, n, cid, check, stars), and for each n-gram of two texts of one window or more (ngram, df)."""
     names = ["doc_id", "place", "n", "cid", "check", "stars", "sketch", "ngram", "df"]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.int32()]
     seen: set[int] = set()
     held: list[np.ndarray] = []
-    counted: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def count() -> None:
-        if held:
-            counted.append(np.unique(np.concatenate(held), return_counts=True))
-            held.clear()
+    def count() -> Iterator[pa.RecordBatch]:
+        """The window's n-grams of two texts or more; the window starts anew, so memory doesn't follow the task's size."""
+        keys = np.concatenate(held) if held else np.zeros(0, np.uint64)
+        held.clear()
+        keys.sort()
+        start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])[: len(keys)]
+        counts = np.diff(np.r_[start, len(keys)])
+        often = counts >= 2
+        keys, counts = keys[start[often]].view(np.int64), counts[often].astype(np.int32)
+        for i in range(0, len(keys), 1 << 16):
+            k = keys[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(k), t) for t in kinds[:7]], pa.array(k), pa.array(counts[i : i + (1 << 16)])], names)
 
     for batch in batches:
         for part in pieces(batch, "text"):
@@ -179,21 +188,12 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     seen.add(c)
                     new[t] = True
             held.append(hashes[np.repeat(new, n)])
-            if sum(map(len, held)) > 3_000_000:
-                count()
+            if sum(map(len, held)) > WINDOW:
+                yield from count()
             list_ = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * STARS, pa.int32()), pa.array(stars.view(np.int64).ravel()))
             none = [pa.nulls(len(n), k) for k in kinds[7:]]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("place"), pa.array(n.astype(np.int32)), pa.array(cid), pa.array(check), list_, pa.array(_sketches(hashes, bounds), pa.binary()), *none], names)
-    count()
-    if counted:
-        keys, counts = np.concatenate([c[0] for c in counted]), np.concatenate([c[1] for c in counted])
-        keys, at = np.unique(keys, return_inverse=True)
-        counts = np.bincount(at, counts)
-        often = counts >= 2
-        keys, counts = keys[often], counts[often].astype(np.int32)
-        for i in range(0, len(keys), 1 << 16):
-            k = keys[i : i + (1 << 16)].view(np.int64)
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(k), t) for t in kinds[:7]], pa.array(k), pa.array(counts[i : i + (1 << 16)])], names)
+    yield from count()
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[pa.Array]]:
