@@ -415,8 +415,10 @@ s AS (SELECT list_intersect(truths, ['click', 'purchase', 'error']) AS t, pred F
 """
 
 
-def _containment(spark, sf_dir):
-    c = _t(spark, sf_dir, "events").where("event_id % 9 < 2").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("k"))
+def _containment(spark, sf_dir, every: bool = False):
+    """Of all events, or of the two in nine that _USERS_SQL names."""
+    events = _t(spark, sf_dir, "events")
+    c = (events if every else events.where("event_id % 9 < 2")).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("k"))
     users = c.groupBy("user_id").agg(F.collect_set("event_type").alias("truths"), F.max(F.struct("k", "event_type"))["event_type"].alias("pred"))
     return evaluate.containment(users, "truths", "pred", ["click", "purchase", "error"])
 
@@ -440,6 +442,33 @@ def containment_breakdown(spark, sf_dir):
     return _containment(spark, sf_dir)[2]
 
 
+# The same over all events: whole truth sets and modal types of all users.
+
+_ALL_USERS_SQL = """WITH c AS (SELECT user_id, event_type, count(*) AS k FROM events GROUP BY 1, 2),
+u AS (SELECT user_id, list(event_type) AS truths, arg_max(event_type, (k, event_type)) AS pred FROM c GROUP BY user_id),
+s AS (SELECT list_intersect(truths, ['click', 'purchase', 'error']) AS t, pred FROM u WHERE list_has_any(truths, ['click', 'purchase', 'error']))
+"""
+
+
+@query(_ALL_USERS_SQL + "SELECT pred AS label, count(*) AS n, round(count(*) FILTER (list_contains(t, pred)) / count(*), 6) AS precision FROM s GROUP BY pred")
+def containment_precision_all(spark, sf_dir):
+    return _containment(spark, sf_dir, every=True)[0]
+
+
+@query(
+    _ALL_USERS_SQL
+    + """, x AS (SELECT unnest(t) AS label, pred, t FROM s) SELECT label, count(*) AS n, round(count(*) FILTER (pred = label) / count(*), 6) AS strict_recall,
+round(count(*) FILTER (list_contains(t, pred)) / count(*), 6) AS lenient_recall FROM x GROUP BY label"""
+)
+def containment_recall_all(spark, sf_dir):
+    return _containment(spark, sf_dir, every=True)[1]
+
+
+@query(_ALL_USERS_SQL + ", x AS (SELECT unnest(t) AS label, pred FROM s) SELECT label, pred, count(*) AS n FROM x GROUP BY label, pred")
+def containment_breakdown_all(spark, sf_dir):
+    return _containment(spark, sf_dir, every=True)[2]
+
+
 # ---- samples ----
 
 _SAMPLE_SQL = """WITH b AS (SELECT event_id, event_type, value, md5('42|' || CAST(event_id AS VARCHAR)) AS d, CASE WHEN value / 100 < 0.3 THEN 'low' WHEN value / 100 < 0.5 THEN 'mid' ELSE 'high' END AS bucket FROM events)
