@@ -96,6 +96,18 @@ def genre_argmax_agree(spark, sf_dir):
     return zero_shot.classify(e, protos.where("label < 4"), "vec_id", "embedding", "label")
 
 
+# The same over all ten labels.
+@query(
+    _PROTOS
+    + "SELECT vec_id, arg_max(label, s) AS pred, "
+    + ", ".join(f"round(max(s) FILTER (label = {k}), 4) AS sim_{k}" for k in range(10))
+    + ", any_value(own) AS true_label, coalesce(arg_max(label, s) = any_value(own), false) AS agree FROM sims GROUP BY vec_id"
+)
+def genre_argmax_agree_all(spark, sf_dir):
+    e, protos = _embeddings(spark, sf_dir)
+    return zero_shot.classify(e, protos, "vec_id", "embedding", "label")
+
+
 @query("SELECT vec_id, round(list_dot_product(CAST(embedding AS DOUBLE[]), [CAST(x AS DOUBLE) / 64 for x in range(1, 65)]) + 0.5, 5) AS value FROM embeddings")
 def linear_head(spark, sf_dir):
     weights, bias = V.collapse([([[i / 32 for i in range(1, 65)]], [0.0]), ([[0.5]], [0.5])])
@@ -253,12 +265,13 @@ def delimited_parse(spark, sf_dir):
     return b.select("l_orderkey", F.size("b").cast("bigint").alias("n"), area.alias("area"), (F.get("b", 0)[2] * F.get("b", 0)[3]).alias("largest"))
 
 
-def _detections(spark, sf_dir) -> DataFrame:
-    """Detections of two engines for each order: odd and even lines, three at most. Line numbers may repeat."""
+def _detections(spark, sf_dir, every: bool = False) -> DataFrame:
+    """Detections of two engines for each order: odd and even lines, all or three at most. Line numbers may repeat."""
     i = _t(spark, sf_dir, "lineitem")
     box = F.array(F.col("l_quantity") / 100, F.col("l_discount") * 4, F.lit(0.3) + F.col("l_tax"), F.lit(0.2) + F.col("l_discount"))
     entry = F.struct("l_linenumber", F.struct(F.col("l_linestatus").alias("label"), (F.col("l_extendedprice") / 100000).alias("score"), box.alias("box")).alias("d"))
-    side = lambda odd, name: F.slice(F.transform(F.array_sort(F.collect_list(F.when(F.col("l_linenumber") % 2 == odd, entry))), lambda e: e["d"]), 1, 3).alias(name)
+    lines = lambda odd: F.transform(F.array_sort(F.collect_list(F.when(F.col("l_linenumber") % 2 == odd, entry))), lambda e: e["d"])
+    side = lambda odd, name: (lines(odd) if every else F.slice(lines(odd), 1, 3)).alias(name)
     return i.groupBy("l_orderkey").agg(side(1, "a"), side(0, "b"))
 
 
@@ -282,7 +295,11 @@ m AS (SELECT o, round(iou, 4) AS iou, round(sa, 3) AS sa, round(sb, 3) AS sb FRO
 
 @query(_BOXES_SQL + "SELECT o AS l_orderkey, count(*) AS n, round(sum(iou), 4) AS total_iou, round(max(least(sa, sb)), 4) AS top_score FROM m GROUP BY o")
 def box_iou_agreement(spark, sf_dir):
-    p = _detections(spark, sf_dir).select("l_orderkey", B.greedy_match(F.col("a"), F.col("b"), 0.3).alias("p")).where(F.size("p") > 0)
+    return _agreement(_detections(spark, sf_dir))
+
+
+def _agreement(detections: DataFrame) -> DataFrame:
+    p = detections.select("l_orderkey", B.greedy_match(F.col("a"), F.col("b"), 0.3).alias("p")).where(F.size("p") > 0)
     total = F.aggregate("p", F.lit(0.0), lambda s, x: s + x["iou"])
     s = B.pair_summary(F.col("p"))
     return p.select("l_orderkey", s["n"].cast("bigint").alias("n"), F.round(total, 4).alias("total_iou"), F.round(s["top_score"], 4).alias("top_score"))
@@ -294,8 +311,12 @@ def box_iou_agreement(spark, sf_dir):
 SELECT o AS l_orderkey, count(*) FILTER (r <= 2) AS n, max(label) FILTER (r = 1) AS top_label, max(score) FILTER (r = 1) AS top_score FROM r GROUP BY o"""
 )
 def top_k_filter(spark, sf_dir):
+    return _best_two(_detections(spark, sf_dir))
+
+
+def _best_two(detections: DataFrame) -> DataFrame:
     kept = B.top(B.plausible(F.col("a"), max_area=0.1), 2)
-    s = _detections(spark, sf_dir).select("l_orderkey", B.summary(kept).alias("s")).where("s.n > 0")
+    s = detections.select("l_orderkey", B.summary(kept).alias("s")).where("s.n > 0")
     return s.select("l_orderkey", F.col("s.n").cast("bigint").alias("n"), "s.top_label", "s.top_score")
 
 
@@ -303,7 +324,11 @@ def top_k_filter(spark, sf_dir):
     _SIDES_SQL + " SELECT o AS l_orderkey, count(*) AS n_faces, round(sum(w * h), 4) AS face_area, round(max(score), 4) AS max_conf FROM d WHERE odd = 1 GROUP BY o"
 )
 def face_summary(spark, sf_dir):
-    s = _detections(spark, sf_dir).select("l_orderkey", B.face_summary(F.col("a")).alias("s")).where("s.n_faces > 0")
+    return _faces(_detections(spark, sf_dir))
+
+
+def _faces(detections: DataFrame) -> DataFrame:
+    s = detections.select("l_orderkey", B.face_summary(F.col("a")).alias("s")).where("s.n_faces > 0")
     return s.select("l_orderkey", F.col("s.n_faces").cast("bigint").alias("n_faces"), "s.face_area", "s.max_conf")
 
 
@@ -311,11 +336,50 @@ def face_summary(spark, sf_dir):
     _SIDES_SQL + " SELECT label, count(*) AS n, round(avg(score), 6) AS score FROM d WHERE odd = 1 GROUP BY label"
 )
 def detection_explode(spark, sf_dir):
-    text = _detections(spark, sf_dir).select(F.to_json("a").alias("boxes"))
+    return _exploded(_detections(spark, sf_dir))
+
+
+def _exploded(detections: DataFrame) -> DataFrame:
+    text = detections.select(F.to_json("a").alias("boxes"))
     each = text.select(F.explode(B.parse_json(F.col("boxes"))).alias("d"))
     return each.groupBy("d.label").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("d.score"), 6).alias("score"))
 
 
+# The same over all lines of an order. The greedy match of sides of any length has no SQL; tests hold it against plain Python.
+
+_ALL_SIDES_SQL = """WITH l AS (SELECT l_orderkey AS o, l_linenumber % 2 AS odd, l_linenumber AS line, l_linestatus AS label, l_extendedprice / 100000 AS score,
+l_quantity / 100 AS x, l_discount * 4 AS y, 0.3::DOUBLE + l_tax AS w, 0.2::DOUBLE + l_discount AS h FROM lineitem),
+d AS (SELECT *, row_number() OVER (PARTITION BY o, odd ORDER BY line, label, score, x, y, w, h) AS n FROM l)"""
+
+
+@query()
+def box_iou_agreement_all(spark, sf_dir):
+    return _agreement(_detections(spark, sf_dir, every=True))
+
+
+@query(
+    _ALL_SIDES_SQL
+    + """, r AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY score DESC, n) AS r FROM d WHERE odd = 1 AND score >= 0.2 AND round(w, 4) * round(h, 4) BETWEEN 0.002 AND 0.1)
+SELECT o AS l_orderkey, count(*) FILTER (r <= 2) AS n, max(label) FILTER (r = 1) AS top_label, max(score) FILTER (r = 1) AS top_score FROM r GROUP BY o"""
+)
+def top_k_filter_all(spark, sf_dir):
+    return _best_two(_detections(spark, sf_dir, every=True))
+
+
+@query(
+    _ALL_SIDES_SQL + " SELECT o AS l_orderkey, count(*) AS n_faces, round(sum(w * h), 4) AS face_area, round(max(score), 4) AS max_conf FROM d WHERE odd = 1 GROUP BY o"
+)
+def face_summary_all(spark, sf_dir):
+    return _faces(_detections(spark, sf_dir, every=True))
+
+
+@query(
+    _ALL_SIDES_SQL + " SELECT label, count(*) AS n, round(avg(score), 6) AS score FROM d WHERE odd = 1 GROUP BY label"
+)
+def detection_explode_all(spark, sf_dir):
+    return _exploded(_detections(spark, sf_dir, every=True))
+
+
 @query(
     """WITH c AS (SELECT user_id, event_type, count(*) AS k FROM events GROUP BY 1, 2)
 SELECT user_id, string_agg(concat(event_type, ':', printf('%.2f', k / 100.0)), '|' ORDER BY event_type) AS tags, coalesce(max(k) FILTER (event_type = 'click'), 0) / 100.0::DOUBLE AS click,
