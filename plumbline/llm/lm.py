@@ -7,7 +7,7 @@ monotone) and quantised discounted probabilities. A pair is looked up by a succe
 
 P(b | a) = max(n(ab) - D, 0) / n(a) + backoff(a) * P(b) with P(b) = (n(b) + 0.5) / (N + 0.5 * (V + 1)), where backoff(a) is what the
 kept pairs of a leave over, so probabilities over all words and one unknown word sum to 1. Texts begin in the context of
-an end. Pairs below PRUNE leave their mass to the backoff; that is a parameter of the model, the same at every size.
+an end. PRUNE = 1 keeps all pairs; above it, pairs below PRUNE would leave their mass to the backoff.
 
 All training rows are counted. Tasks count their own slices with numpy, shards of the trie are built by separate tasks
 and written to the shared folder, and scoring tasks map them into memory, so nothing of the corpus passes the driver.
@@ -32,7 +32,7 @@ from .elias_fano import EliasFano
 from .toxicity import held_out
 
 DISCOUNT = 0.75
-PRUNE = 2
+PRUNE = 1
 END = np.uint64(0x454E44)  # identity of the end of a text
 #: Step of quantised log10 values.
 STEP = 1 / 4096
