@@ -2,7 +2,7 @@
 
 Entities are found by one regular expression. Each distinct entity of the table gets one surrogate, drawn character by
 character from SHA-256 of a secret key, the kind, the entity and an attempt number, so the same entity has the same
-surrogate in all texts (coreference). Surrogates keep what makes the kind: digits stay digits, letters stay letters of
+surrogate in all texts (coreference), phones and cards by their digits, however they are spaced. Surrogates keep what makes the kind: digits stay digits, letters stay letters of
 their script, separators, country codes, top-level domains, the first digit and the Luhn sum of card numbers stay; a
 person's surrogate keeps the title and takes a given name of the title's gender in the script of the name. Surrogates
 that two entities share, or that are entities of the table themselves, are found by grouping and drawn again with the
@@ -24,12 +24,14 @@ KEY = "plumbline-surrogates"
 # Titles by gender, and given names and family-name syllables by script.
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "Mme", "г-жа"]
 MALE = ["Mr", "Herr", "Señor", "Monsieur", "г-н"]
+NEUTRAL = ["Dr", "Prof"]
 GIVEN = {
     ("latin", "f"): ["Anna", "Clara", "Elena", "Greta", "Irene", "Julia", "Laura", "Maria", "Nora", "Paula", "Rosa", "Sofia", "Teresa", "Vera"],
     ("latin", "m"): ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Leon", "Martin", "Oscar", "Paul"],
     ("cyrillic", "f"): ["Анна", "Вера", "Дарья", "Елена", "Ирина", "Мария", "Нина", "Ольга"],
     ("cyrillic", "m"): ["Антон", "Борис", "Виктор", "Глеб", "Иван", "Максим", "Олег", "Павел"],
 }
+GIVEN |= {(s, "n"): GIVEN[s, "f"] + GIVEN[s, "m"] for s in ("latin", "cyrillic")}
 SYLLABLES = {
     "latin": ["ba", "den", "far", "gol", "hem", "jor", "kal", "lin", "mar", "nov", "pel", "ran", "sor", "tav", "ul", "ven", "wes", "zan"],
     "cyrillic": ["ба", "вол", "гра", "ден", "жук", "зим", "кал", "лев", "мор", "нов", "пет", "рос", "сол", "тар", "фед", "чер"],
@@ -40,15 +42,20 @@ LETTERS = {
     "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
     "greek": "αβγδεζηθικλμνξοπρστυφχψω",
 }
-_TITLE = "|".join(sorted(FEMALE + MALE, key=len, reverse=True))
+_TITLE = "|".join(sorted(FEMALE + MALE + NEUTRAL, key=len, reverse=True))
+#: One title, or several as in Prof. Dr.
+_TITLES = rf"(?:{_TITLE})\.?(?: (?:{'|'.join(NEUTRAL)})\.?)*"
+#: Calling codes with one or two digits; all others have three.
+_CALLING = r"\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]++\.)+\p{L}{2,24}",
     "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])",
-    "phone": r"(?<![\d+])\+\d{1,3}[ .\-]?(?:\(\d{2,4}\)|\d{2,4})[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)",
-    "card": r"(?<![\d.\-])(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4})(?![\d\-]|\.\d)",
+    "phone": r"(?<![\d+])\+\d{1,3}[ .\-]?(?:(?:\(\d{2,4}\)|\d{2,4})[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\d(?:[ .\-]\d{2}){4})(?!\d)",
+    "card": r"(?<![\d.\-])(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-]|\.\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
-    "person": rf"(?<![\p{{L}}\p{{N}}\-])(?:{_TITLE})\.? \p{{Lu}}\p{{Ll}}++(?: \p{{Lu}}\p{{Ll}}++)?",
+    "national": r"(?<![\d+.\-])(?:(?:1[ \-])?(?:\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})|0\d{2,4}[ \-]\d{3,4}[ \-]\d{4}|0\d(?:[ .\-]\d{2}){4})(?![\d\-]|\.\d)",
+    "person": rf"(?<![\p{{L}}\p{{N}}\-]){_TITLES} \p{{Lu}}\p{{Ll}}++(?: \p{{Lu}}\p{{Ll}}++)?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: From this attempt on a surrogate gets a suffix, so that kinds with few possible values end as well.
@@ -58,7 +65,7 @@ WIDEN = 12
 def _maybe(text: Column) -> Column:
     """Whether a text can hold an entity."""
     out = text.rlike("[0-9@]")
-    for title in FEMALE + MALE:
+    for title in FEMALE + MALE + NEUTRAL:
         out = out | F.contains(text, F.lit(title + " ")) | F.contains(text, F.lit(title + ". "))
     return F.coalesce(out, F.lit(False))
 
@@ -70,16 +77,18 @@ def _kind(surface: Column) -> Column:
         .when(surface.rlike("^[0-9A-Fa-f]{32,64}$"), "secret")
         .when(surface.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ip")
         .when(surface.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
+        .when(surface.rlike(f"^(?:{PATTERNS['national']})$"), "phone")
         .when(surface.rlike(r"^[\d \-]+$"), "card")
         .otherwise("person")
     )
 
 
 def _canonical(surface: Column, kind: Column) -> Column:
-    """What one entity's surfaces have in common: case doesn't count in addresses and secrets, the title not in names."""
-    name = F.regexp_replace(surface, rf"^(?:{_TITLE})\.? ", "")
-    sex = F.when(surface.rlike(rf"^(?:{'|'.join(FEMALE)})\.? "), "f").otherwise("m")
-    return F.when(kind == "person", F.concat(sex, F.lit(":"), name)).when(kind.isin("email", "secret"), F.lower(surface)).otherwise(surface)
+    """What one entity's surfaces have in common: case doesn't count in addresses and secrets, the title not in names, separators not in phones and cards."""
+    name = F.regexp_replace(surface, rf"^{_TITLES} (?=\p{{Lu}}\p{{Ll}})", "")
+    sex = F.when(surface.rlike(rf"^(?:{'|'.join(FEMALE)})\.? "), "f").when(surface.rlike(rf"^(?:{'|'.join(NEUTRAL)})\.? "), "n").otherwise("m")
+    out = F.when(kind == "person", F.concat(sex, F.lit(":"), name)).when(kind.isin("email", "secret"), F.lower(surface))
+    return out.when(kind.isin("phone", "card"), F.regexp_replace(surface, r"[^\d+]", "")).otherwise(surface)
 
 
 def _draw(seed: Column, at, below: int) -> Column:
@@ -140,7 +149,7 @@ def _person(canonical: Column, seed: Column, attempt: Column) -> Column:
     out = F.lit(None).cast("string")
     for s in ("latin", "cyrillic"):
         family = F.initcap(F.concat(*[_pick(SYLLABLES[s], seed, k) for k in (1, 2, 3)], F.when(attempt > 2, _pick(SYLLABLES[s], seed, 4)).otherwise("")))
-        for g in ("f", "m"):
+        for g in ("f", "m", "n"):
             whole = F.when(F.contains(name, F.lit(" ")), F.concat(_pick(GIVEN[s, g], seed, 0), F.lit(" "), family)).otherwise(family)
             out = F.when((script == s) & (sex == g), whole).otherwise(out)
     return F.concat(sex, F.lit(":"), out)
@@ -158,7 +167,7 @@ def _surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Co
         .when(kind == "secret", hexed)
         .when(kind == "ip", ip)
         .when(kind == "card", _card(canonical, seed))
-        .when(kind == "phone", _digits(canonical, seed, F.length(F.regexp_extract(canonical, r"^\+\d{1,3}(?=[ .\-(])|^\+\d", 0))))
+        .when(kind == "phone", _digits(canonical, seed, F.length(F.regexp_extract(canonical, f"^{_CALLING}|^0", 0))))
         .when(kind == "ssn", _digits(canonical, seed, F.lit(0)))
         .otherwise(_person(canonical, seed, attempt))
     )
@@ -185,12 +194,25 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
         attempt += 1
 
 
+def _spaced(surface: Column, surrogate: Column) -> Column:
+    """The surrogate's digits in the places of the surface's; a suffix stays at the end."""
+    digits = F.regexp_replace(F.regexp_extract(surrogate, r"^\+?\d+", 0), r"\D", "")
+
+    def one(i: Column) -> Column:
+        c = F.substring(surface, i, F.lit(1))
+        place = F.length(F.regexp_replace(F.substring(surface, F.lit(1), i), r"\D", ""))
+        return F.when(c.rlike(r"\d"), F.substring(digits, place, F.lit(1))).otherwise(c)
+
+    woven = F.array_join(F.transform(F.sequence(F.lit(1), F.length(surface)), one), "")
+    return F.concat(woven, F.regexp_extract(surrogate, r"-\d+$", 0))
+
+
 def _as_surface(surface: Column, kind: Column, surrogate: Column) -> Column:
-    """The surrogate with the surface's case, and the title in front of names."""
-    title = F.regexp_extract(surface, rf"^(?:{_TITLE})\.? ", 0)
+    """The surrogate with the surface's case or separators, and the title in front of names."""
+    title = F.regexp_extract(surface, rf"^({_TITLES} )\p{{Lu}}\p{{Ll}}", 1)
     shouted = (surface == F.upper(surface)) & (surface != F.lower(surface))
     cased = F.when(shouted, F.upper(surrogate)).when(F.substring(surface, 1, 1) != F.lower(F.substring(surface, 1, 1)), F.concat(F.upper(F.substring(surrogate, 1, 1)), F.substring(surrogate, F.lit(2), F.length(surrogate)))).otherwise(surrogate)
-    return F.when(kind == "person", F.concat(title, F.substring(surrogate, F.lit(3), F.length(surrogate)))).when(kind.isin("email", "secret"), cased).otherwise(surrogate)
+    return F.when(kind == "person", F.concat(title, F.substring(surrogate, F.lit(3), F.length(surrogate)))).when(kind.isin("email", "secret"), cased).when(kind.isin("phone", "card"), _spaced(surface, surrogate)).otherwise(surrogate)
 
 
 def replace(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
