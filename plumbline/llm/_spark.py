@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from urllib.parse import urlparse
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a folder of our own, but on one machine only."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir has to name a folder that the driver and all executors share (master {master})")
         found = "file://" + tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -34,11 +39,25 @@ def mounted(path: str) -> str:
     return url.path
 
 
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: df as a Parquet table in the shared folder, read again with its own schema."""
     path = fresh(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing will read again: what came of them is written itself."""
+    for t in tables:
+        if path := _paths.pop(t, None):
+            spark = t.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +70,19 @@ def utf8(col) -> F.Column:
     return F.coalesce(col, F.lit("")).cast("binary")
 
 
+def numbered(df: DataFrame, keys: list[str], name: str, table_name: str) -> DataFrame:
+    """df with the place of each row, from 0, in the order of keys, as a written table.
+
+    Rows are dealt by ranges of all keys, sorted within each, and counted; a range's rows start where those before it
+    end. Only the number of rows of each range is brought together. Rows that are equal in all keys fall into one range.
+    """
+    sort = written(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id()), table_name)
+    part, inside = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)
+    sizes = sort.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n"))  # a row for each range
+    starts = sizes.select("__part", (F.sum("n").over(Window.orderBy("__part")) - F.col("n")).alias("__start"))
+    return sort.withColumn("__part", part).join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + inside).drop("__at", "__part", "__start")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): rows (id, root), root the smallest id that is reached.
 
@@ -58,10 +90,10 @@ def components(links: DataFrame) -> DataFrame:
     number of rounds follows the logarithm of the longest chain. A node with many links is pre-aggregated
     (min) before the shuffle. Nodes without links are absent. Empty links give no rows.
     """
-    spark = links.sparkSession
     pairs = links.select("a", "b").where("a <> b")
     both = written(pairs.union(pairs.select("b", "a")).distinct(), "links")
     label = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
+    held = [label]
     while True:
         heard = both.join(label.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("heard"))
         near = label.join(heard, "id").select("id", F.col("root").alias("old"), F.least("root", "heard").alias("near"))
@@ -71,6 +103,8 @@ def components(links: DataFrame) -> DataFrame:
         jump = near.select(F.col("id").alias("near"), F.col("near").alias("far"))
         after = written(near.join(jump, "near", "left").select("id", F.least("near", F.coalesce("far", "near")).alias("root"), "old"), "labels")
         changed = after.where("root <> old").limit(1).count()
-        label = after.select("id", "root")
+        discard(near, *held)
+        label, held = after.select("id", "root"), [after]
         if not changed:
+            discard(both)
             return label
