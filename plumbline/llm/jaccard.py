@@ -1,7 +1,7 @@
 """N-gram Jaccard join by prefix trees.
 
 A text's set holds its distinct word n-grams, as 58-bit hashes. Two texts link when the Jaccard similarity of their sets
-is at least PERCENT / 100; the result is every text's component over the links. No link is lost:
+is at least PERCENT / 100; the result is every text's component over the links and its number of links. No link is lost:
 
 1. Texts with equal sets form a class; only classes are compared.
 2. All n-grams get one global order: rare ones first, by hash among themselves, common ones last, by how common they are.
@@ -10,13 +10,17 @@ is at least PERCENT / 100; the result is every text's component over the links.
    few comparisons, so that large groups of them needn't be compared pairwise later.
 4. Prefix filter: sets that link share one of their first n - ceil(0.75 n) + 1 n-grams. For each n-gram, the pairs of
    classes that hold it there, that aren't connected yet and whose lengths and places admit a link are candidates. N-grams of more
-   than GROUP classes are handled apart, in cells of bounded size, after classes that are connected already have been set aside.
+   than GROUP classes are handled apart, in cells of bounded size, after classes that are connected already have been set aside;
+   n-grams that are known to be that common are dealt over many tasks at once, and no task holds the classes of one n-gram.
 5. Parity sketches (four bits or more for each n-gram) differ in no more bits than two sets differ in n-grams; candidates whose
    sketches differ in more than a link allows are dropped, so whole sets are moved for few pairs.
 6. The others are compared in a prefix tree: the partners of a class, as ordered sets, lie in a path-compressed trie; one
    walk down it with the class's own set shares the overlap of common beginnings and leaves out subtrees whose remaining
    lengths can't reach the overlap that a link needs.
 7. Links give components by label propagation over tables in the shared folder.
+8. All links lie within components. Each component is cut into cells of bounded size (classes of one range of sizes with those of
+   the same or the next one); in a cell one set of classes lies in a prefix tree, which is walked once with all sets of the other,
+   and only the number of links of each class leaves the cell, so pairs are neither written nor shuffled.
 
 Only prefixes and the sets of candidates cross the network, never whole texts. A class's copies cost one row a task.
 """
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import components, written
+from ._spark import components, discard, written
 from ._words import mix, pieces, span_hashes, words
 
 N = 5
@@ -48,6 +52,15 @@ ROUNDS = ((4, 4), (4, 32))
 #: Bits of the sketches that cells compare; longer ones are folded to them.
 SHORT = 1024
 BLOCK = 256
+#: A cell in which links are counted holds so many classes at most, and so many n-grams unless a single class has more.
+MEMBERS = 1024
+SHINGLES = 1 << 19
+#: An n-gram is dealt over SALTS tasks if the list says that it has 2 ** HOT texts or more.
+HOT = 10
+SALTS = 61
+#: Sets of sizes with more than this ratio never link (4/3, and something for rounding).
+RATIO = 1.34
+KEY_BYTES = 8
 BITS = 25
 MASK = np.uint64((1 << 58) - 1)
 WEIGHTS = np.random.default_rng(58).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
@@ -113,25 +126,26 @@ def _sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     return out
 
 
-def _distance(a: bytes, b: bytes) -> int:
-    """Differing cells; the longer sketch is folded to the length of the other one."""
-    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
-    m, n = 8 * len(a), 8 * len(b)
-    while m > n:
-        m >>= 1
-        x = (x >> m) ^ (x & ((1 << m) - 1))
-    while n > m:
-        n >>= 1
-        y = (y >> n) ^ (y & ((1 << n) - 1))
-    return (x ^ y).bit_count()
+def _folded(sketches: pa.Array, length: int) -> np.ndarray:
+    """Sketches of one length, folded to `length` bytes, as rows of 64-bit words."""
+    raw = np.frombuffer(b"".join(x.as_buffer() for x in sketches), np.uint64).reshape(len(sketches), -1)
+    return np.bitwise_xor.reduce(raw.reshape(len(raw), -1, length // 8), axis=1)
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b) whose sketches admit a link, from (a, b, na, nb, sa, sb)."""
+    """The pairs (a, b, nb) whose sketches admit a link, from (a, b, na, nb, sa, sb): the longer sketch is folded to the other's length."""
     for batch in batches:
-        a, b, na, nb, sa, sb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "sa", "sb"))
-        keep = [_distance(x, y) <= m + n - 2 * needed(m, n) for m, n, x, y in zip(na, nb, sa, sb, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(a, keep, strict=True) if k], pa.int64()), pa.array([x for x, k in zip(b, keep, strict=True) if k], pa.int64())], ["a", "b"])
+        na, nb = (batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
+        la, lb = (np.diff(np.frombuffer(batch.column(c).cast(pa.large_binary()).buffers()[1], np.int64)[batch.column(c).offset :][: batch.num_rows + 1]) for c in ("sa", "sb"))
+        apart = np.zeros(len(na), np.int64)
+        for x, y in np.unique(np.stack([la, lb], 1), axis=0).tolist():
+            rows = np.flatnonzero((la == x) & (lb == y))
+            for i in range(0, len(rows), 4096):
+                part = rows[i : i + 4096]
+                one, two = (_folded(batch.column(c).take(pa.array(part)), min(x, y)) for c in ("sa", "sb"))
+                apart[part] = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
+        keep = pa.array(apart <= na + nb - 2 * needed(na, nb))
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "nb")], ["a", "b", "nb"])
 
 
 class Order:
@@ -225,9 +239,14 @@ def _admits(na, pa_, nb, pb):
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Prefix rows sorted by n-gram to candidate pairs (a, b), and to the rows themselves where an n-gram has many classes."""
+    """Prefix rows sorted by n-gram to candidate pairs (a, b), and to the rows themselves where an n-gram has many classes.
+
+    Of one n-gram no more than GROUP classes and a batch are held: rows of one with more, and those with a salt, pass through.
+    """
     names = ["a", "b", "ngram", "cid", "place"]
     held: list[np.ndarray] = []
+    rest = [np.zeros(0, np.int64)] * 4
+    through: int | None = None  # the n-gram whose first rows have passed through
 
     def pairs() -> pa.RecordBatch:
         every = np.concatenate(held)
@@ -237,14 +256,27 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = [pa.nulls(len(every), pa.int64())] * 3
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(every[:, 0])), pa.array(np.ascontiguousarray(every[:, 1])), *none], names)
 
-    for columns in _grouped(batches, ["ngram"]):
-        gram, cid, place = (c.to_numpy(zero_copy_only=False) for c in columns)
+    for batch in _and_none(batches):
+        if batch is not None:
+            rest = [np.concatenate([r, batch.column(c).to_numpy().astype(np.int64)]) for r, c in zip(rest, ("ngram", "cid", "place", "salt"), strict=True)]
+        if not len(rest[0]):
+            continue
         # copies of a class come from several tasks
-        first = np.r_[True, (gram[1:] != gram[:-1]) | (cid[1:] != cid[:-1])]
-        gram, cid, place = gram[first], cid[first], place[first]
+        first = np.r_[True, (rest[0][1:] != rest[0][:-1]) | (rest[1][1:] != rest[1][:-1])]
+        rest = [r[first] for r in rest]
+        gram = rest[0]
         start = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
         size = np.repeat(np.diff(np.r_[start, len(gram)]), np.diff(np.r_[start, len(gram)]))
-        many = size > GROUP
+        many = (size > GROUP) | (rest[3] > 0)
+        if through is not None:
+            many |= gram == through
+        last = gram[-1]  # it may go on in the next batch
+        if batch is not None and not many[-1]:
+            cut = int(start[-1])
+        else:
+            cut, through = len(gram), int(last) if many[-1] else None
+        (gram, cid, place, _), many, size = [r[:cut] for r in rest], many[:cut], size[:cut]
+        rest = [r[cut:] for r in rest]
         if many.any():
             k = int(many.sum())
             yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(gram[many]), pa.array(cid[many]), pa.array(place[many])], names)
@@ -263,6 +295,11 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pairs()
 
 
+def _and_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
 def _short(sketch: bytes) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, SHORT // 64), axis=0)
 
@@ -366,6 +403,75 @@ class Trie:
             if children and overlap + min(left, best - end) >= needed(size, best):
                 stack += [(c, overlap) for c in children]
 
+    def links(self, probes: list[np.ndarray], weights: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(for each probe the sum of `own` over the sets that link with it, for each set the sum of `weights` over its probes)."""
+        to_probe, to_set = np.zeros(len(probes), np.int64), np.zeros(len(self.sets), np.int64)
+        values = np.unique(np.concatenate(self.sets))
+        places = [np.searchsorted(values, x) for x in self.sets]
+        own = own[self.original]
+        step = max(1, (32 << 20) // len(values))
+        for i in range(0, len(probes), step):
+            a, b = self._walk_all(probes[i : i + step], weights[i : i + step], own, values, places)
+            to_probe[i : i + step] += a
+            to_set += b
+        out = np.zeros_like(to_set)
+        out[self.original] = to_set
+        return to_probe, out
+
+    def _walk_all(self, probes, weights, own, values, places):
+        """One walk down the tree with all probes, each dropped where the lengths that remain can't reach a link."""
+        size = np.array([len(p) for p in probes])
+        who, every = np.repeat(np.arange(len(probes)), size), np.concatenate(probes)
+        rank = np.searchsorted(values, every)  # values below each
+        hit = values[np.minimum(rank, len(values) - 1)] == every
+        has = np.zeros((len(values), len(probes)), np.uint8)
+        has[rank[hit], who[hit]] = 1
+        # a probe's elements up to the value of rank r are those of rank r or less
+        line = who * (len(values) + 1) + rank
+        begin = np.cumsum(size) - size
+        to_probe, to_set = np.zeros(len(probes), np.int64), np.zeros(len(self.sets), np.int64)
+        stack = [(self.root, np.arange(len(probes)), np.zeros(len(probes), np.int64))]
+        while stack:
+            node, live, overlap = stack.pop()
+            first, start, end, children, shortest, longest, here = node
+            segment = places[first][start:end]
+            left = size[live]
+            if len(segment):
+                rows = has[segment]
+                overlap = overlap + (rows if len(live) == len(probes) else rows[:, live]).sum(0, dtype=np.int64)
+                left = left - (np.searchsorted(line, live * (len(values) + 1) + segment[-1], "right") - begin[live])
+            if here:
+                link = overlap >= needed(size[live], end)
+                to_set[here] += weights[live[link]].sum()
+                to_probe[live[link]] += own[here].sum()
+            if children:
+                best = np.maximum(shortest, np.minimum(longest, end + left))
+                go = overlap + np.minimum(left, best - end) >= needed(size[live], best)
+                if go.any():
+                    stack += [(c, live[go], overlap[go]) for c in children]
+        return to_probe, to_set
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells (root, low, high) of classes (cid, own, copies, keys) to (cid, links): the documents that each class links with there, its own included."""
+    for columns in _grouped(batches, ["root", "low", "high"]):
+        root, low, high, own, cid, copies = (c.to_numpy(zero_copy_only=False) for c in columns[:6])
+        start = np.flatnonzero(np.r_[True, (root[1:] != root[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+        ids, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, j in zip(start.tolist(), np.r_[start[1:], len(root)].tolist(), strict=True):
+            rows = np.arange(i, j)
+            left, right = rows[own[rows] == low[i]], rows[own[rows] == high[i]]
+            if not len(left) or not len(right):
+                continue
+            of = lambda k: [np.frombuffer(columns[6][int(x)].as_buffer(), np.uint64) for x in k]  # noqa: E731, B023
+            a, b = Trie(of(right)).links(of(left), copies[left], copies[right])
+            ids.append(cid[left])
+            counts.append(a)
+            if low[i] != high[i]:
+                ids.append(cid[right])
+                counts.append(b)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(counts))], ["cid", "links"])
+
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cells (a, block), a's own set first, to links (a, b)."""
@@ -385,6 +491,27 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
 
+def _cells(rows: DataFrame, key: str, most: int, shingles: int | None = None) -> DataFrame:
+    """Rows (key, cid, n, ...) once for each cell (key, low, high) they belong to, `own` being the row's block, low or high.
+
+    Two rows of one key whose sizes admit a link meet in one cell at least. A key of `most` rows (and of n-grams `shingles`
+    in all) is one cell; others are cut by ranges of sizes, so that only neighbouring ranges can link, and into blocks.
+    """
+    total = F.count(F.lit(1)) if shingles is None else F.greatest(F.count(F.lit(1)), F.ceil(F.sum("n") * (most / shingles)))
+    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(RATIO))).cast("int")
+    by_level = rows.groupBy(key, level.alias("level")).agg(total.alias("rows"))
+    # at most as many levels as sizes have ranges
+    blocks = by_level.groupBy(key).agg(F.sum("rows").alias("all"), F.map_from_entries(F.collect_list(F.struct("level", F.ceil(F.col("rows") / most).cast("int").alias("blocks")))).alias("blocks"))
+    dealt = rows.join(blocks, key).withColumn("level", F.when(F.col("all") > most, level).otherwise(-9))
+    code = lambda at, k: at.cast("long") * (1 << 32) + k
+    dealt = dealt.withColumn("own", F.when(F.col("level") == -9, F.lit(0).cast("long")).otherwise(code(F.col("level"), F.pmod(F.xxhash64("cid"), F.element_at("blocks", F.col("level"))))))
+    near = F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)
+    there = F.filter(near, lambda at: F.map_contains_key("blocks", at))
+    others = F.flatten(F.transform(there, lambda at: F.transform(F.sequence(F.lit(0), F.element_at("blocks", at) - 1), lambda k: code(at, k))))
+    dealt = dealt.withColumn("other", F.explode(F.when(F.col("level") == -9, F.array(F.lit(0).cast("long"))).otherwise(others)))
+    return dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+
+
 class Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str):
         self.spark = docs.sparkSession
@@ -429,19 +556,35 @@ class Join:
                     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["cid", "keys"])
 
         made = self.docs.mapInArrow(run, "cid long, keys binary").join(wanted, "cid", "left_semi")
-        return written(made.dropDuplicates(["cid"]), "sets")
+        out = written(made.dropDuplicates(["cid"]), "sets")
+        shared.destroy()
+        return out
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that link."""
         of = lambda c: self.classes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
-        pairs = written(pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").mapInArrow(_near, "a long, b long"), "pairs")
+        pairs = written(pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").mapInArrow(_near, "a long, b long, nb int"), "pairs")
         sets = self.sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
-        sizes = written(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "sizes")
+        blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("nb") / SHINGLES)).cast("int")
+        sizes = written(pairs.groupBy("a").agg(blocks.alias("blocks")), "sizes")
         cells = pairs.join(sizes, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
         partners = cells.join(sets, cells["b"] == sets["cid"]).select("a", "block", F.col("b").alias("cid"), F.lit(1).alias("role"), "keys")
         probes = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(sets, F.col("a") == sets["cid"]).select("a", "block", "cid", F.lit(0).alias("role"), "keys")
         rows = partners.unionByName(probes).repartition("a", "block").sortWithinPartitions("a", "block", "role", "cid")
-        return written(rows.mapInArrow(_compared, "a long, b long"), "links")
+        out = written(rows.mapInArrow(_compared, "a long, b long"), "links")
+        discard(pairs, sets, sizes)
+        return out
+
+    def counts(self, root: DataFrame, copies: DataFrame) -> DataFrame:
+        """(cid, links) of the classes in root (id, root): how many documents each links with, its own included."""
+        sets = self.sets(root.select(F.col("id").alias("cid")))
+        named = sets.join(root.withColumnRenamed("id", "cid"), "cid").join(copies, "cid")
+        named = written(named.select("root", "cid", "copies", F.expr(f"length(keys) div {KEY_BYTES}").alias("n"), "keys"), "members")
+        cells = _cells(named, "root", MEMBERS, SHINGLES).select("root", "low", "high", "own", "cid", "copies", "keys")
+        cells = cells.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
+        out = written(cells.mapInArrow(_counted, "cid long, links long").groupBy("cid").agg(F.sum("links").alias("links")), "counts")
+        discard(sets, named)
+        return out
 
     def stars(self) -> DataFrame:
         """Pairs of a class and the centre of a group that shares a smallest hash."""
@@ -453,7 +596,7 @@ class Join:
         return near.select("a", "b").distinct()
 
     def prefixes(self) -> DataFrame:
-        """(ngram, cid, place) of all prefixes; place holds the set's size and the place in it."""
+        """(ngram, cid, place, salt) of all prefixes; place holds the set's size and the place in it; n-grams known to be hot have salts."""
         order = self.order
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,15 +618,18 @@ class Join:
                     p = np.arange(size.sum()) - at
                     rows = np.repeat(bounds[:-1], size) + p
                     place = np.repeat(n, size) << 32 | p
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[rows].view(np.int64)), pa.array(np.repeat(cid, size)), pa.array(place)], ["ngram", "cid", "place"])
+                    classes = np.repeat(cid, size)
+                    salt = np.where(keys[rows] >> np.uint64(58) >= HOT, 1 + classes % SALTS, 0)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[rows].view(np.int64)), pa.array(classes), pa.array(place), pa.array(salt.astype(np.int32))], ["ngram", "cid", "place", "salt"])
 
-        return self.docs.select("text").mapInArrow(run, "ngram long, cid long, place long")
+        return self.docs.select("text").mapInArrow(run, "ngram long, cid long, place long, salt int")
 
     def prefix_pairs(self) -> tuple[DataFrame, DataFrame]:
         """(pairs (a, b) that share an n-gram of few classes, rows (ngram, cid, place) of those with many)."""
-        rows = self.prefixes().repartition("ngram").sortWithinPartitions("ngram", "cid")
+        rows = self.prefixes().repartition("ngram", "salt").sortWithinPartitions("ngram", "cid")
         found = written(rows.mapInArrow(_candidates, "a long, b long, ngram long, cid long, place long"), "candidates")
-        return found.where("a is not null").select("a", "b").distinct(), found.where("ngram is not null").select("ngram", "cid", "place")
+        # a class's copies come from several tasks
+        return found.where("a is not null").select("a", "b").distinct(), found.where("ngram is not null").groupBy("ngram", "cid").agg(F.min("place").alias("place"))
 
     @staticmethod
     def apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
@@ -498,20 +644,24 @@ class Join:
             many = many.withColumn("r", rank).where(F.col("r") <= grams).drop("r")
         named = many.join(root.withColumnRenamed("id", "cid"), "cid", "left").join(self.classes.select("cid", "sketch"), "cid")
         named = written(named.select("ngram", "cid", "place", F.coalesce("root", "cid").alias("root"), "sketch"), "common")
-        sizes = written(named.groupBy("ngram").agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("ngram", F.ceil(F.col("g") / CELL).cast("int").alias("cells")), "sizes")
-        cells = named.join(sizes, "ngram").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("cells")).cast("int"))
-        cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-        cells = cells.select("ngram", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "cid", "place", "root", "sketch")
+        mixed = named.groupBy("ngram").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("ngram")
+        mixed = named.join(mixed, "ngram").withColumn("n", F.shiftright("place", 32))
+        cells = _cells(mixed, "ngram", CELL).select("ngram", "low", "high", "own", "cid", "place", "root", "sketch")
         cells = cells.repartition("ngram", "low", "high").sortWithinPartitions("ngram", "low", "high")
         return cells.mapInArrow(lambda b: _cell_pairs(b, nearest), "a long, b long").distinct()
 
+    def close(self) -> None:
+        """What executors hold goes; all that is still read has been written."""
+        self.order.destroy()
+
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
+    """One row for each row of docs: doc_id, n_shingles, component_id and, if they are counted, n_links.
 
-    Null and empty texts and texts without words have no n-grams and link with nothing; their component is their own id.
-    A null id gives its row's component no id; a component of null ids alone has a null id. Repeated rows are in one class. Extra
-    columns aren't read. An empty table gives no rows.
+    n_links is the number of other rows that the row's text links with, copies among them. Null and empty texts and texts
+    without words have no n-grams and link with nothing; their component is their own id. A null id gives its row's component
+    no id; a component of null ids alone has a null id. Repeated rows are in one class and link with each other. Ids are
+    cast to long. Extra columns aren't read. An empty table gives no rows.
     """
     join = Join(docs, id_col, text_col)
     links = join.links(join.stars())
@@ -520,8 +670,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for grams, nearest in (*ROUNDS, (None, None)):
         links = links.unionByName(join.links(join.common_pairs(many, components(links), grams, nearest)))
     root = components(links)
-    named = join.rows.where("n > 0").join(root.withColumnRenamed("id", "cid"), "cid", "left").select("doc_id", "n", F.coalesce("root", "cid").alias("root"))
-    named = written(named, "named")
+    copies = written(join.rows.where("n > 0").groupBy("cid").agg(F.count(F.lit(1)).alias("copies")), "copies")
+    per_class = copies.join(root.withColumnRenamed("id", "cid"), "cid", "left")
+    if count_links:
+        per_class = per_class.join(join.counts(root, copies), "cid", "left")
+    else:
+        per_class = per_class.withColumn("links", F.lit(None).cast("long"))
+    per_class = written(per_class.select("cid", F.coalesce("root", "cid").alias("root"), (F.coalesce("links", "copies") - 1).alias("n_links")), "classes")
+    join.close()
+    named = written(join.rows.where("n > 0").join(per_class, "cid").select("doc_id", "n", "root", "n_links"), "named")
     first = written(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "first")
-    full = named.join(first, "root").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    return full.unionByName(join.rows.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    columns = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", *(["n_links"] if count_links else [])]
+    alone = join.rows.where("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("n_links", F.lit(0).cast("long"))
+    return named.join(first, "root").select(*columns).unionByName(alone.select(*columns))

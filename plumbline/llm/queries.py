@@ -71,7 +71,8 @@ def oracle_sql() -> dict[str, str]:
             s AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM g),
             l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
             r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON r.doc_id = l.a)
-            SELECT doc_id, any_value(n) AS n_shingles, min(root) AS component_id FROM r JOIN (SELECT doc_id, len(g) AS n FROM g) USING (doc_id) GROUP BY doc_id""",
+            SELECT doc_id, any_value(n) AS n_shingles, min(root) AS component_id, any_value(links) AS n_links
+            FROM r JOIN (SELECT doc_id, len(g) AS n, (SELECT count(*) FROM l WHERE l.a = g.doc_id) AS links FROM g) USING (doc_id) GROUP BY doc_id""",
         "op4_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                    doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -36,7 +36,7 @@ def test_stages(spark, data, stages):
         last[t] = i
     assert set(text(unique)) == set(last.values())
     # near copies: the smallest id of each component
-    assert set(text(distinct)) == {i for i, n, c in brute_components(list(text(unique).items())) if i == c}
+    assert set(text(distinct)) == {i for i, _, c, _ in brute_components(list(text(unique).items())) if i == c}
     # PII: all documents, nothing private left
     before, after = text(distinct), text(private)
     assert set(before) == set(after)

@@ -120,11 +120,12 @@ def brute_components(texts: list[tuple]) -> list[tuple]:
         for b in range(a):
             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
                 root[find(a)] = find(b)
+    links = [sum(a != b and bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) for b in range(len(sets))) for a in range(len(sets))]
     least = {}
     for k, (i, _) in enumerate(texts):
         if i is not None:
             least[find(k)] = min(i, least.get(find(k), i))
-    return sorted([(i, len(sets[k]), least.get(find(k)) if sets[k] else i) for k, (i, _) in enumerate(texts)], key=repr)
+    return sorted([(i, len(sets[k]), least.get(find(k)) if sets[k] else i, links[k]) for k, (i, _) in enumerate(texts)], key=repr)
 
 
 def near_copies(seed: int, n: int = 160) -> list[tuple]:
@@ -142,7 +143,7 @@ def near_copies(seed: int, n: int = 160) -> list[tuple]:
     return out
 
 
-@pytest.mark.parametrize("limits", [{}, {"GROUP": 3, "OFTEN": 4, "CELL": 16, "BLOCK": 4, "COMMON": 40}])
+@pytest.mark.parametrize("limits", [{}, {"GROUP": 3, "OFTEN": 4, "CELL": 16, "BLOCK": 4, "COMMON": 40, "MEMBERS": 12, "SHINGLES": 900, "HOT": 3}])
 def test_jaccard_loses_no_link(spark, monkeypatch, limits):
     for k, v in limits.items():
         monkeypatch.setattr(jaccard, k, v)
@@ -175,12 +176,39 @@ def test_trie_prunes_nothing_that_links():
         assert set(trie.search(probe)) == want
 
 
+def test_one_walk_with_many_probes():
+    r = np.random.default_rng(8)
+    base = np.sort(r.choice(10**6, 60, replace=False)).astype(np.uint64)
+    make = lambda: np.unique(np.r_[r.choice(base, r.integers(40, 60), replace=False), r.integers(0, 10**6, r.integers(1, 14)).astype(np.uint64)])
+    left, right = [make() for _ in range(40)], [make() for _ in range(50)]
+    a, b = r.integers(1, 9, 40), r.integers(1, 9, 50)
+    link = np.array([[100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y)) for y in right] for x in left])
+    assert 0 < link.sum() < link.size
+    to_probe, to_set = jaccard.Trie(right).links(left, a, b)
+    assert (to_probe == link @ b).all() and (to_set == a @ link).all()
+
+
 def test_sketches_never_exceed_the_difference():
     r = np.random.default_rng(4)
     for _ in range(50):
         a, b = (np.unique(r.integers(0, 4000, r.integers(1, 2000)).astype(np.uint64) * np.uint64(7919)) for _ in range(2))
         x, y = jaccard._sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
-        assert jaccard._distance(x, y) <= len(np.setxor1d(a, b))
+        short = min(len(x), len(y))
+        one, two = (jaccard._folded(pa.array([z], pa.binary()), short) for z in (x, y))
+        assert np.bitwise_count(one ^ two).sum() <= len(np.setxor1d(a, b))
+
+
+def test_an_ngram_of_many_classes_is_not_held():
+    """Groups that go on over batches: up to GROUP classes give pairs, larger ones pass through, none twice or lost."""
+    rows = [(g, c, (20 << 32), 0) for g, size in ((1, 3), (2, 500), (3, 1), (4, jaccard.GROUP), (5, jaccard.GROUP + 1), (6, 2)) for c in range(size)]
+    rows += [(7, c, (20 << 32), 1 + c % 5) for c in range(4)]
+    columns = [list(c) for c in zip(*rows, strict=True)]
+    for step in (7, 64, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c[i : i + step], t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], ["ngram", "cid", "place", "salt"]) for i in range(0, len(rows), step)]
+        got = [r for b in jaccard._candidates(iter(batches)) for r in b.to_pylist()]
+        pairs = {(r["a"], r["b"]) for r in got if r["a"] is not None}
+        assert pairs == {(a, b) for b in range(jaccard.GROUP) for a in range(b)}
+        assert {(r["ngram"], r["cid"]) for r in got if r["ngram"] is not None} == {(g, c) for g, c, _, salt in rows if g in (2, 5) or salt}
 
 
 # ---- 3 PII ----
