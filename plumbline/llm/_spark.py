@@ -65,6 +65,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until df has no such column (case doesn't count)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def utf8(col) -> F.Column:
     """Bytes of a text; null counts as empty."""
     return F.coalesce(col, F.lit("")).cast("binary")

@@ -2,11 +2,12 @@
 
 A text is cut into blocks of BLOCK bytes. The distinct blocks are sorted and get integers as names; then the names
 of adjacent blocks are paired, the distinct pairs are sorted and named, and so on, until each text has one name.
-Texts have the same name at the same level if and only if they are equal.
+Texts have the same name at the same level if and only if they are equal. A name is a value's place in one sorted order
+of all distinct values (blocks by SHA-256, pairs by their two names), so names don't depend on how rows were dealt.
 
 Whole blocks cross the network once, combined before the shuffle, so a text with very many copies costs one row for
-each task. Occurrences carry a SHA-256 of their block in its place; names are made from whole blocks, and a digest
-that two different blocks shared would stop the job, so no result rests on a hash. The joins of occurrences and
+each task. Blocks are told apart as wholes; their SHA-256 only sorts them and stands for them where they occur, and a
+digest that two different blocks shared would stop the job, so no result rests on a hash. The joins of occurrences and
 names are plain sort-merge joins between two exchanges, which adaptive execution splits where a name is very common.
 """
 
@@ -15,15 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import utf8, written
+from ._spark import free, numbered, utf8, written
 
 BLOCK = 4096
 
 
-def _named(values: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct values of keys with integer names, in the sorted order of each partition; written once, so that names stay."""
-    distinct = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).drop("n")
-    return distinct.sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
+def _distinct(values: DataFrame, keys: list[str]) -> DataFrame:
+    return values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).drop("n")
 
 
 def _collision(names: DataFrame) -> bool:
@@ -41,7 +40,8 @@ def block_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = F.greatest(F.ceil(F.length("body") / F.lit(block)), F.lit(1)).cast("int")
     cut = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.substring(F.col("body"), i * block + 1, F.lit(block)))
     rows = rows.withColumn("n", n)
-    names = written(_named(rows.select(F.explode(cut).alias("piece")), ["piece"]).select(F.sha2("piece", 256).alias("digest"), "name"), "names")
+    blocks = _distinct(rows.select(F.explode(cut).alias("piece")), ["piece"]).select(F.sha2("piece", 256).alias("digest"))
+    names = numbered(written(blocks, "blocks"), ["digest"], "name", "names")
     if _collision(names):
         raise RuntimeError("two different blocks share a SHA-256 digest")
     digests: Column = F.transform(cut, lambda b: F.sha2(b, 256))
@@ -62,7 +62,7 @@ def block_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.sum(F.when(F.col("pos") % 2 == 0, F.col("copies"))).alias("copies"),
         )
         pair = written(pair, "pairs")
-        names = written(_named(pair, ["one", "two"]), "names")
+        names = numbered(written(_distinct(pair, ["one", "two"]), "distinct"), ["one", "two"], "name", "names")
         level = written(
             pair.join(names, ["one", "two"]).select("id", "text_sha256", F.ceil(F.col("n") / 2).cast("int").alias("n"), "pos", "name", "copies"), "level"
         )
@@ -95,9 +95,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns; of rows with equal id and text, one."""
+    """The rows of docs that stay, with all their columns; of rows with equal id and text, one. Null text counts as empty.
+
+    Other columns may have any names; an empty table gives no rows.
+    """
     names = block_names(docs, id_col, text_col)
-    kept = _kept(names).where(F.col("id").eqNullSafe(F.col("keep_id"))).select(F.col("id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    rows = docs.dropDuplicates([id_col, text_col]) if names.where("copies > 1").limit(1).count() else docs
-    sha = F.sha2(utf8(F.col(text_col)), 256)
-    return rows.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_semi")
+    kept = _kept(names).where(F.col("id").eqNullSafe(F.col("keep_id")))
+    own = free(docs, "sha")
+    rows = docs.withColumn(own, F.sha2(utf8(F.col(text_col)), 256))  # null and empty texts are equal
+    if names.where("copies > 1").limit(1).count():
+        rows = rows.dropDuplicates([id_col, own])
+    kept = kept.select(F.col("id").alias("__i"), F.col("text_sha256").alias("__s")).alias("kept")
+    return rows.join(kept, F.col(id_col).eqNullSafe(F.col("kept.__i")) & (F.col(own) == F.col("kept.__s")), "left_semi").drop(own)

@@ -21,8 +21,8 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "text", F.size("__kinds").alias("n_entities"), F.col("__kinds").alias("kinds"))
+    out = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), kinds="kinds")
+    return out.select("doc_id", "text", F.size("kinds").alias("n_entities"), "kinds")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

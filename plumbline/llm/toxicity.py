@@ -268,14 +268,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(np.frombuffer(bytes(made["part"]), np.float64), made["bias"])
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """One row for each row of docs: doc_id, held_out, score, predicted; with keep, the rows' own columns and `__toxic`.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: str | None = None) -> DataFrame:
+    """One row for each row of docs: doc_id, held_out, score, predicted; with keep, the rows' own columns and a boolean of that name.
 
-    Null and empty texts get the score of the bias alone. Texts are scored whole. A doc_id may be null or repeat. With
-    keep, docs mustn't have a column `__toxic` (ValueError); other columns may have any name.
+    Null and empty texts get the score of the bias alone. Texts are scored whole. A doc_id may be null or repeat.
+    docs mustn't have a column named as `keep` (ValueError); other columns may have any name.
     """
-    if keep and "__toxic" in docs.columns:
-        raise ValueError("docs has a column __toxic of its own")
+    if keep and keep.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"docs has a column {keep} of its own")
+    added = keep or "__score"
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
     schema = docs.schema if keep else T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType)])
     rows = docs if keep else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
@@ -286,10 +287,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             for part in pieces(batch, text):
                 own = part if keep else part.select(["doc_id"])
                 scores = shared.value.scores(part.column(text))
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(scores >= THRESHOLD if keep else scores)], [*own.schema.names, "__toxic"])
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(scores >= THRESHOLD if keep else scores)], [*own.schema.names, added])
 
-    out = rows.mapInArrow(run, T.StructType([*schema.fields, T.StructField("__toxic", T.BooleanType() if keep else T.DoubleType())]))
+    out = rows.mapInArrow(run, T.StructType([*schema.fields, T.StructField(added, T.BooleanType() if keep else T.DoubleType())]))
     if keep:
         return out
-    score = F.col("__toxic")
+    score = F.col(added)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))

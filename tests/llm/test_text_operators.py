@@ -91,7 +91,9 @@ def test_toxicity_rows(spark, odd, none):
         assert r.held_out == (r.doc_id == r.doc_id and zlib.crc32(str(int(r.doc_id)).encode()) % 4 == 2)
     empty = toxicity.score(none, toxicity.train(none, labels.limit(0)))
     assert empty.count() == 0
-    assert toxicity.score(odd, model, keep=True).columns == [*odd.columns, "__toxic"]
+    assert toxicity.score(odd, model, keep="toxic").columns == [*odd.columns, "toxic"]
+    with pytest.raises(ValueError, match="of its own"):
+        toxicity.score(odd, model, keep="LEVEL")
 
 
 def test_toxicity_on_held_out_rows(spark, data):
@@ -217,15 +219,15 @@ def test_an_ngram_of_many_classes_is_not_held():
 def test_pii_surrogates(spark):
     text = "Dear Mr. Smith and Mrs. Ann Jones, Mr. Smith has joe.x@mail.example.com, JOE.X@MAIL.EXAMPLE.COM, +44 20 7946 0958, 10.0.0.1, 4111111111111111, 123-45-6789, " + "0f" * 20
     rows = spark.createDataFrame([(1, text, 5), (1, text, 5), (2, None, 1), (3, "", 1), (4, "plain words 12 and 3.4.5, v1.2", 1), (None, "г-жа Иванова: 10.0.0.1", 1)], "doc_id long, text string, pos long")
-    got = {r["doc_id"]: r for r in pii.replace(rows).collect()}
+    got = {r["doc_id"]: r for r in pii.replace(rows, kinds="kinds").collect()}
     new = got[1]["text"]
-    assert got[1]["__kinds"] == ["person", "person", "person", "email", "email", "phone", "ip", "card", "ssn", "secret"] and got[1]["pos"] == 5
+    assert got[1]["kinds"] == ["person", "person", "person", "email", "email", "phone", "ip", "card", "ssn", "secret"] and got[1]["pos"] == 5
     for private in ("Smith", "Jones", "joe.x", "7946", "10.0.0.1", "4111111111111111", "123-45-6789", "0f0f"):
         assert private not in new
     m = re.fullmatch(r"Dear Mr\. (\w+) and Mrs\. (\w+) (\w+), Mr\. (\w+) has (\S+), (\S+), \+44 (\d\d) (\d{4}) (\d{4}), ([\d.]+), (\d{16}), (\d{3}-\d\d-\d{4}), ([0-9a-f]{40})", new)
     assert m and m[1] == m[4] and m[2] in pii.GIVEN["latin", "f"] and m[5].upper() == m[6] and m[5].endswith(".com")
     assert sum(int(d) if k % 2 else sum(divmod(2 * int(d), 10)) for k, d in enumerate(m[11])) % 10 == 0
-    assert got[2]["text"] is None and got[3]["text"] == "" and got[4]["text"] == "plain words 12 and 3.4.5, v1.2" and got[4]["__kinds"] == []
+    assert got[2]["text"] is None and got[3]["text"] == "" and got[4]["text"] == "plain words 12 and 3.4.5, v1.2" and got[4]["kinds"] == []
     assert m[10] in got[None]["text"] and "Иванова" not in got[None]["text"]
     assert pii.replace(rows).count() == 6 and pii.replace(rows.limit(0)).count() == 0
 
@@ -238,6 +240,62 @@ def test_pii_keeps_entities_apart(spark):
     assert len(set(got)) == len(got) and not any(ip in t for t in got for ip in ips[:5])
 
 
+def test_pii_against_known_places(spark):
+    """Random texts of known pieces: only entities change, each to its kind's form, the same everywhere and no two alike."""
+    r = random.Random(11)
+    digit, letter = (lambda n: "".join(r.choice("0123456789") for _ in range(n))), (lambda n: "".join(r.choice("abcdefghijk") for _ in range(n)))
+    hexes = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    iban = lambda b: f"DE{98 - int(b + '131400') % 97:02d}{b}"
+    make = {
+        "email": (lambda: f"{letter(4)}.{letter(3)}@{letter(5)}.example.org", r"\S+@\S+\.org"),
+        "phone": (lambda: f"+49 {digit(3)} {digit(4)} {digit(4)}", r"\+49 \d{3} \d{4} \d{4}"),
+        "ssn": (lambda: f"{digit(3)} {digit(2)} {digit(4)}", r"\d{3} \d\d \d{4}"),
+        "ip": (lambda: ".".join(str(r.randint(1, 254)) for _ in range(4)), r"\d+\.\d+\.\d+\.\d+"),
+        "ipv6": (lambda: f"fe80::{hexes(4)}:{hexes(3)}:1", r"[0-9a-f]{4}::[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]"),
+        "secret": (lambda: hexes(40), "[0-9a-f]{40}"),
+        "key": (lambda: "sk_live_" + letter(20), "sk_live_[a-z]{20}"),
+        "iban": (lambda: iban(digit(18)), r"DE\d{20}"),
+        "person": (lambda: f"Frau {letter(5).capitalize()} {letter(7).capitalize()}", r"Frau \w+ \w+"),
+    }
+    have = [(k, f()) for k, (f, _) in make.items() for _ in range(12)]
+    fill = ["plain", "words,", "12", "3.4.5", "a-b", "(x)", "Über", "2024-10-11", "1,234.50"]
+    texts = []
+    for i in range(120):
+        pieces = []
+        for _ in range(r.randint(0, 9)):
+            pieces += [(None, r.choice(fill))] * r.randint(1, 3) + [(None, "and"), r.choice(have), (None, "so")]
+        texts.append((i, pieces))
+    rows = spark.createDataFrame([(i, " ".join(x for _, x in p)) for i, p in texts] + [(500, None), (501, ""), (502, "nothing")], "doc_id long, text string")
+    got = {x["doc_id"]: (x["text"], x["kinds"]) for x in pii.replace(rows, key="k", kinds="kinds").collect()}
+    assert got[500] == (None, []) and got[501] == ("", []) and got[502] == ("nothing", [])
+    new: dict = {}
+    for i, p in texts:
+        m = re.fullmatch(" ".join(f"({make[k][1]})" if k else re.escape(x) for k, x in p), got[i][0])
+        assert m and got[i][1] == [k for k, _ in p if k]
+        for entity, surrogate in zip([x for x in p if x[0]], m.groups(), strict=True):
+            assert new.setdefault(entity, surrogate) == surrogate
+    assert len(set(new.values())) == len(new) and not set(new.values()) & {x for _, x in have}
+    assert all(iban(v[4:]) == v for (k, _), v in new.items() if k == "iban")
+    # the same with the same key, and not with another one
+    assert sorted(x["text"] or "" for x in pii.replace(rows, key="k").collect()) == sorted(t or "" for t, _ in got.values())
+    assert {x["doc_id"]: x["text"] for x in pii.replace(rows, key="other").collect()} != {i: t for i, (t, _) in got.items()}
+
+
+def test_pii_names_and_hostile_texts(spark):
+    deep = "x@" + "a." * 100_000 + "com"
+    rows = [(1, "Mr. Smith and Mr. John Smith, Mrs. Smith"), (2, deep), (3, "x@a.b@c.d " * 200_000), (4, "9" * 3_000_000), (5, "Mr. " * 300_000), (6, "a:" * 500_000 + "1"), (7, "+1 " * 500_000), (8, "Dr. " + "Ab" * 500_000)]
+    got = {r["doc_id"]: r["text"] for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    m = re.fullmatch(r"Mr\. (\w+) and Mr\. (\w+) (\w+), Mrs\. (\w+)", got[1])
+    assert m and m[1] == m[3] == m[4] != "Smith" and m[2] in pii.GIVEN["latin", "m"]
+    assert got[2] == deep and got[4] == "9" * 3_000_000
+
+
+def test_pii_columns_with_clashing_names(spark):
+    rows = spark.createDataFrame([(1, "a@b.com", 1, 2, 3, 4, 5, 6)], "doc_id long, text string, sha int, may int, new int, kinds int, pos int, _sha int")
+    got = pii.replace(rows)
+    assert got.columns == rows.columns and [tuple(r)[2:] for r in got.collect()] == [(1, 2, 3, 4, 5, 6)]
+
+
 # ---- 4 exact dedup ----
 
 
@@ -261,6 +319,14 @@ def test_exact_dedup(odd, none, block):
     if block != 7:
         kept = exact_dedup.keep_one(odd)
         assert kept.count() == len(groups) and kept.columns == odd.columns
+        again = odd.unionByName(odd).unionByName(odd.withColumn("text", F.nullif("text", F.lit(""))))
+        assert exact_dedup.keep_one(again).count() == len(groups)
+
+
+def test_names_of_blocks_do_not_follow_partitions(spark):
+    rows = [(i, "ab" * (i % 40)) for i in range(200)]
+    names = [sorted(tuple(r) for r in exact_dedup.block_names(spark.createDataFrame(rows, "doc_id long, text string").repartition(n), block=8).collect()) for n in (1, 7)]
+    assert names[0] == names[1] and len({r[2:4] for r in names[0]}) == 40
 
 
 # ---- 5 language model ----

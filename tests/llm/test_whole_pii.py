@@ -12,13 +12,13 @@ def test_national_phones_cards_and_titles(spark):
         "k +44 20 7946 0958 l +442079460958", "Dr. Smith, Prof. Dr. Ann Jones, Herr Dr. Weber", "in 2024-10-11, 1,234.50 and 100 200 3000",
     ]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["doc_id"]: r for r in pii.replace(rows).collect()}
+    got = {r["doc_id"]: r for r in pii.replace(rows, kinds="kinds").collect()}
     m = re.fullmatch(r"a (\(\d{3}\) \d{3}-\d{4}) b (\d{3}-\d{3}-\d{4}) c (0\d\d \d{4} \d{4}) d (\+33 \d( \d\d){4}) e (0\d( \d\d){4})\.", got[0]["text"])
     digits = lambda t: re.sub(r"\D", "", t)
-    assert m and got[0]["__kinds"] == ["phone"] * 5 and digits(m[1]) == digits(m[2]) and not any(p in got[0]["text"] for p in ("555-6869", "7946 0958", "23 45 67 89"))
+    assert m and got[0]["kinds"] == ["phone"] * 5 and digits(m[1]) == digits(m[2]) and not any(p in got[0]["text"] for p in ("555-6869", "7946 0958", "23 45 67 89"))
     m = re.fullmatch(r"f (3\d{3} \d{6} \d{5}) g (\d{15}) h (\d{4} \d{4} \d{4} \d{4}) i (\d{4}-\d{4}-\d{4}-\d{4}) j (\d{16})", got[1]["text"])
-    assert m and digits(m[1]) == m[2] != "378282246310005" and digits(m[3]) == digits(m[4]) == m[5] != "4111111111111111" and got[1]["__kinds"] == ["card"] * 5
+    assert m and digits(m[1]) == m[2] != "378282246310005" and digits(m[3]) == digits(m[4]) == m[5] != "4111111111111111" and got[1]["kinds"] == ["card"] * 5
     m = re.fullmatch(r"k (\+44 \d\d \d{4} \d{4}) l (\+44\d{10})", got[2]["text"])
     assert m and digits(m[1]) == digits(m[2]) != "442079460958"
     assert re.fullmatch(r"Dr\. \w+, Prof\. Dr\. \w+ \w+, Herr Dr\. \w+", got[3]["text"]) and not re.search("Smith|Jones|Weber", got[3]["text"])
-    assert got[4]["text"] == texts[4] and got[4]["__kinds"] == []
+    assert got[4]["text"] == texts[4] and got[4]["kinds"] == []
