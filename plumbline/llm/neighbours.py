@@ -7,8 +7,9 @@ TARGET of the true ones, which brute force over the sample gives; a query goes o
 Largest inner products are nearest neighbours after each row gets one more component, sqrt(M^2 - |x|^2).
 
 Equal vectors are one class with its smallest ids, as many as an answer can use, so a vector with very many copies costs
-no more than another one. SHELF leaves are searched together,
-in blocks of about BLOCK classes, so tasks stay bounded when the table grows.
+no more than another one. SHELF leaves are searched together, in blocks of about BLOCK classes; a task holds one block
+at a time and the queries that visit it pass by in small batches, so memory doesn't follow the table. The number of
+leaves is the sample's: leaves grow with the table, and with them what a query reads.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from ._spark import written
 SAMPLE = 20_000
 BRANCH = 16
 LEAF = 48
-TARGET = 0.96
+TARGET = 0.985
 CALIBRATION = 256
 #: Leaves that one task searches together, and classes of them at most, roughly.
 SHELF = 32
@@ -136,16 +137,16 @@ def _valid(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, raw, norms = [], [], []
-            for i, v in zip(batch.column("vec_id").to_pylist(), batch.column("v"), strict=True):
-                if i is None or not v.is_valid or v.values.null_count:
-                    continue
-                x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                if len(x) and np.isfinite(x).all() and x.any():
-                    ids.append(i)
-                    raw.append((x + 0.0).tobytes())  # -0.0 counts as 0.0
-                    norms.append(float(np.sqrt((x**2).sum())))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary()), pa.array(norms, pa.float64())], ["vec_id", "vec", "norm"])
+            ids, lists = batch.column("vec_id"), batch.column("v")
+            at = lists.offsets.to_numpy()
+            x = lists.values.to_numpy(zero_copy_only=False).astype(np.float64)[at[0] : at[-1]] + 0.0  # null is nan; -0.0 counts as 0.0
+            at = at - at[0]
+            wrong, full = np.r_[0, np.cumsum(~np.isfinite(x))], np.r_[0, np.cumsum(x != 0)]
+            fit = lists.is_valid().to_numpy(zero_copy_only=False) & ids.is_valid().to_numpy(zero_copy_only=False)
+            fit &= (wrong[at[1:]] == wrong[at[:-1]]) & (full[at[1:]] > full[at[:-1]])
+            vectors = [x[at[i] : at[i + 1]] for i in np.flatnonzero(fit)]
+            norms = [float(np.sqrt(v @ v)) for v in vectors]
+            yield pa.RecordBatch.from_arrays([ids.filter(pa.array(fit)), pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array(norms, pa.float64())], ["vec_id", "vec", "norm"])
 
     return rows.selectExpr(f"cast(`{id_col}` as long) as vec_id", f"cast(`{vec_col}` as array<double>) as v").mapInArrow(run, "vec_id long, vec binary, norm double")
 
@@ -154,24 +155,62 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.float64).reshape(len(column), -1)
 
 
+class _Search:
+    """Searches blocks of an index with the queries that come after each, a few at a time."""
+
+    def __init__(self, k: int):
+        self.k = k
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by (shelf, block, role): the block's classes, role 0, then its queries. Gives (qid, cid, score)."""
+        at, parts, block = None, [], None
+        for batch in batches:
+            shelf, of, role = (batch.column(c).to_numpy() for c in ("shelf", "block", "role"))
+            edges = np.flatnonzero(np.r_[True, (shelf[1:] != shelf[:-1]) | (of[1:] != of[:-1]) | (role[1:] != role[:-1])])
+            for i, j in zip(edges.tolist(), np.r_[edges[1:], len(shelf)].tolist(), strict=True):
+                rows = batch.slice(i, j - i)
+                if at != (shelf[i], of[i]):
+                    at, parts, block = (shelf[i], of[i]), [], None
+                ids, raw = rows.column("id").to_numpy(), _matrix([x.as_buffer() for x in rows.column("vec")])
+                if role[i] == 0:
+                    parts.append((raw, ids, rows.column("leaf").to_numpy() % SHELF))
+                elif parts:
+                    block = block or tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+                    for q in range(0, len(ids), 256):
+                        yield self._best(raw[q : q + 256], ids[q : q + 256], rows.column("leaves").slice(q, 256).to_pylist(), *block)
+
+    def _best(self, asking, qid, leaves, have, cid, leaf) -> pa.RecordBatch:
+        most = min(self.k + 1, len(have))
+        visited = np.zeros((len(qid), SHELF), bool)
+        for row, at in enumerate(leaves):
+            visited[row, at] = True
+        away = np.where(visited[:, leaf], -(asking @ have.T), np.inf)
+        best = np.argpartition(away, most - 1, axis=1)[:, :most]
+        hit = np.isfinite(np.take_along_axis(away, best, 1))
+        exact = (asking[:, None, :] * have[best]).sum(2)
+        return pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(qid[:, None], hit.shape)[hit]), pa.array(cid[best][hit]), pa.array(exact[hit])], ["qid", "cid", "score"])
+
+
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Rows (query_id, rank, vec_id, score): for each row whose id is divisible by `every`, its k nearest other rows found.
 
-    Null vectors, zero vectors, vectors with null or non-finite components and rows without an id take no part. Vectors
-    have one length. Ties go to the smaller id. A repeated row counts once, and rows with a query's own id are never its
+    Null vectors, zero vectors, vectors with null or non-finite components and rows without an id take no part, nor do
+    vectors of another length than most have (of the smallest such length, if several are as frequent). Ids are cast to
+    long. Ties go to the smaller id. A repeated row counts once, and rows with a query's own id are never its
     neighbours. With k or fewer other rows all of them are returned. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     rows = written(_valid(vectors, id_col, vec_col), "vectors")
-    top = rows.agg(F.max("norm"), F.count(F.lit(1))).first()
-    if not top[1]:
+    length = rows.groupBy(F.length("vec").alias("length")).agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("norm")).orderBy(F.desc("n"), "length").first()
+    if not length:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows = rows.where(F.length("vec") == length["length"])
     # the k + 1 smallest ids of each vector; the limit on ranks is applied before the shuffle too
     rank = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
     few = rows.select("vec", "vec_id").groupBy("vec", "vec_id").agg(F.count(F.lit(1)).alias("n")).drop("n").withColumn("r", rank).where(F.col("r") <= k + 1)
     classes = written(few.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumn("cid", F.monotonically_increasing_id()), "classes")
     sample = classes.orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).select("vec").toPandas()
-    tree = fit(_matrix(sample["vec"]), k, float(top[0]))
+    tree = fit(_matrix(sample["vec"]), k, float(length["norm"]))
     shared = spark.sparkContext.broadcast(tree)
 
     def indexed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -181,8 +220,13 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
                 yield f[["leaf", "cid", "vec", "ids"]]
 
     index = written(classes.mapInPandas(indexed, "leaf int, cid long, vec binary, ids array<long>"), "index")
-    sizes = {r["leaf"]: r["n"] for r in index.groupBy("leaf").agg(F.sum(F.size("ids")).alias("n")).collect()}  # a row for each leaf of the tree
-    blocks = max(1, -(-classes.count() // (BLOCK * -(-len(tree.leaf_of) // SHELF))))
+    # a row for each leaf of the tree
+    leaves = index.groupBy("leaf").agg(F.sum(F.size("ids")).alias("n"), F.count(F.lit(1)).alias("classes")).collect()
+    sizes = {r["leaf"]: r["n"] for r in leaves}
+    shelves: dict[int, int] = {}
+    for r in leaves:
+        shelves[r["leaf"] // SHELF] = shelves.get(r["leaf"] // SHELF, 0) + r["classes"]
+    blocks = spark.createDataFrame([(k, -(-n // BLOCK)) for k, n in shelves.items()], "shelf int, blocks int")
     asked = rows.where(F.col("vec_id") % every == 0).select("vec_id", "vec").distinct()
     asked = written(asked.join(classes.select("vec", F.col("cid").alias("qid")), "vec").select("vec_id", "qid", "vec"), "queries")
 
@@ -204,31 +248,16 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
             yield pd.DataFrame(out, columns=["qid", "vec", "shelf", "leaves"])
 
     visits = asked.select("qid", "vec").distinct().mapInPandas(routed, "qid long, vec binary, shelf int, leaves array<int>")
-    visits = visits.select("qid", "vec", "shelf", "leaves", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-
-    def search(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        none = np.zeros(0, np.int64)
-        found = [(none, none, np.zeros(0))]
-        if len(q) and len(x):
-            have, cid, leaf = _matrix(x["vec"]), x["cid"].to_numpy(), x["leaf"].to_numpy() % SHELF
-            most = min(k + 1, len(x))
-            for i in range(0, len(q), 256):
-                asking, qid = _matrix(q["vec"].iloc[i : i + 256]), q["qid"].to_numpy()[i : i + 256]
-                visited = np.zeros((len(qid), SHELF), bool)
-                for row, leaves in enumerate(q["leaves"].iloc[i : i + 256]):
-                    visited[row, leaves] = True
-                away = np.where(visited[:, leaf], -(asking @ have.T), np.inf)
-                best = np.argpartition(away, most - 1, axis=1)[:, :most]
-                hit = np.isfinite(np.take_along_axis(away, best, 1))
-                exact = (asking[:, None, :] * have[best]).sum(2)
-                found.append((np.broadcast_to(qid[:, None], hit.shape)[hit], cid[best][hit], exact[hit]))
-        return pd.DataFrame({c: np.concatenate([f[j] for f in found]) for j, c in enumerate(("qid", "cid", "score"))})
-
-    by_block = index.withColumn("block", F.pmod(F.col("cid"), F.lit(blocks)).cast("int")).withColumn("shelf", F.floor(F.col("leaf") / SHELF).cast("int"))
-    found = visits.groupBy("shelf", "block").cogroup(by_block.select("shelf", "block", "leaf", "cid", "vec").groupBy("shelf", "block")).applyInPandas(search, "qid long, cid long, score double")
+    blocks = F.broadcast(blocks)  # a row for each SHELF leaves
+    visits = visits.join(blocks, "shelf").select("shelf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), F.col("qid").alias("id"), "vec", F.lit(None).cast("int").alias("leaf"), "leaves")
+    by_block = index.withColumn("shelf", F.floor(F.col("leaf") / SHELF).cast("int")).join(blocks, "shelf")
+    by_block = by_block.select("shelf", F.pmod(F.col("cid"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), F.col("cid").alias("id"), "vec", "leaf", F.lit(None).cast("array<int>").alias("leaves"))
+    sorted_ = by_block.unionByName(visits).repartition("shelf", "block").sortWithinPartitions("shelf", "block", "role")
+    found = sorted_.mapInArrow(_Search(k), "qid long, cid long, score double")
     # the k + 1 best classes of a query and those that tie with the last of them
     ranked = Window.partitionBy("qid").orderBy(F.desc("score"))
     kept = written(found.withColumn("r", F.rank().over(ranked)).where(F.col("r") <= k + 1).select("qid", "cid", "score"), "found")
+    shared.destroy()
     lists = kept.join(classes.select("cid", "ids"), "cid").groupBy("qid").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
     pairs = F.flatten(F.transform("found", lambda c: F.transform(c["ids"], lambda i: F.struct((-c["score"]).alias("minus"), i.alias("vec_id")))))
     near = asked.select(F.col("vec_id").alias("query_id"), "qid").join(lists, "qid")

@@ -6,7 +6,8 @@ so a reader checks a record piece by piece and neither side builds a record in m
 in order, are the WARC record; the table is written and read by Spark, so it lives in any store that Spark reaches.
 
 Records with equal payloads of at least `min_bytes` bytes are stored once, as a response; the others are revisits
-that name it. Grouping reads digests and lengths only; the payloads cross the network once.
+that name it. Payloads are equal if their lengths and SHA-256 are; the SHA-1 of the headers, of which collisions are
+known, doesn't decide. Grouping reads digests and lengths only; the payloads cross the network once.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import fresh, utf8
+from ._spark import fresh, utf8, written
 
 CHUNK = 1 << 18
 ROWS = "record_id string, page_id long, chunk_no int, chunks int, data binary, payload_sha1 string"
@@ -142,20 +143,23 @@ def write_records(pages: DataFrame, path: str | None = None, min_bytes: int = 0,
     spark = pages.sparkSession
     body = utf8(F.col(html_col))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), body.alias("payload"))
-    keyed = rows.withColumn("sha1", F.sha1("payload")).withColumn("bytes", F.length("payload").cast("long"))
-    ids = keyed.groupBy("page_id", "sha1", "bytes").agg(F.count(F.lit(1)).alias("copies"))
-    firsts = ids.groupBy("sha1", "bytes").agg(F.min("page_id").alias("first"))
-    kinds = ids.join(firsts, ["sha1", "bytes"]).select(F.col("page_id").alias("p"), F.col("sha1").alias("s"), F.col("bytes").alias("b"), "first", "copies")
-    full = keyed.join(kinds, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("sha1") == F.col("s")) & (F.col("bytes") == F.col("b"))).drop("p", "s", "b")
-    if ids.where("copies > 1").limit(1).count():
-        again = Window.partitionBy("page_id", "sha1").orderBy("url")
-        full = full.where("copies = 1").withColumn("copy", F.lit(0)).unionByName(full.where("copies > 1").withColumn("copy", F.row_number().over(again) - 1))
-    else:
-        full = full.withColumn("copy", F.lit(0))
+    keyed = rows.withColumn("sha1", F.sha1("payload")).withColumn("sha256", F.sha2("payload", 256)).withColumn("bytes", F.length("payload").cast("long"))
+    ids = written(keyed.groupBy("page_id", "sha1", "sha256", "bytes").agg(F.count(F.lit(1)).alias("copies")), "ids")
+    # written first, so a payload that very many pages have is a plain skewed join
+    firsts = written(ids.groupBy("sha256", "bytes").agg(F.min("page_id").alias("first")), "firsts")
+    kinds = ids.join(firsts, ["sha256", "bytes"]).select(F.col("page_id").alias("p"), F.col("sha256").alias("s"), "first", "copies")
+    same = F.col("page_id").eqNullSafe(F.col("p")) & (F.col("sha256") == F.col("s"))
     own = (F.col("bytes") < min_bytes) | (F.col("page_id").eqNullSafe(F.col("first")) & (F.col("copy") == 0))
-    full = full.select(
-        "page_id", "copy", "url", "sha1", "bytes", F.when(own, "response").otherwise("revisit").alias("record_type"), F.when(~own, F.col("first")).alias("refers_to"), F.when(own, F.col("payload")).alias("payload")
-    )
+    columns = ["page_id", "copy", "url", "sha1", "bytes", F.when(own, "response").otherwise("revisit").alias("record_type"), F.when(~own, F.col("first")).alias("refers_to"), F.when(own, F.col("payload")).alias("payload")]
+    full = keyed.join(kinds, same).where("copies = 1").withColumn("copy", F.lit(0)).select(*columns)
+    if ids.where("copies > 1").limit(1).count():
+        # rows that repeat are counted by url and numbered without their payloads, which only responses get back
+        repeated = kinds.where("copies > 1")
+        urls = keyed.drop("payload").join(repeated, same).groupBy("page_id", "sha1", "sha256", "bytes", "url", "first").agg(F.count(F.lit(1)).alias("n"))
+        before = F.sum("n").over(Window.partitionBy("page_id", "sha256").orderBy("url")) - F.col("n")
+        each = urls.withColumn("before", before).withColumn("copy", F.explode(F.expr("sequence(cast(before as int), cast(before + n - 1 as int))")))
+        payloads = keyed.join(repeated, same, "left_semi").groupBy(F.col("page_id").alias("p"), F.col("sha256").alias("s")).agg(F.first("payload").alias("payload"))
+        full = full.unionByName(each.where(own).join(payloads, same).select(*columns)).unionByName(each.where(~own).withColumn("payload", F.lit(None).cast("binary")).select(*columns))
     path = path or fresh(spark, "warc")
     full.mapInArrow(_chunked, ROWS).write.parquet(path)
     return path

@@ -169,7 +169,7 @@ def test_warc_finds_damage(spark):
 def brute(rows, k, every):
     good = {}
     for i, v in rows:
-        if i is not None and v is not None and len(v) and None not in v and np.isfinite(np.array(v, float)).all() and np.any(np.array(v, float)):
+        if i is not None and v is not None and len(v) == len(rows[0][1]) and None not in v and np.isfinite(np.array(v, float)).all() and np.any(np.array(v, float)):
             good.setdefault(i, np.array(v, np.float32).astype(float))
     out = {}
     for i, q in good.items():
@@ -183,7 +183,7 @@ def test_neighbours_rows_and_ties(spark):
     ship(spark)
     r = np.random.default_rng(1)
     rows = [(i, [float(x) for x in r.normal(size=8)]) for i in range(60)]
-    rows += [(100 + i, rows[3][1]) for i in range(40)] + [(200, None), (201, [0.0] * 8), (202, [float("nan")] + [1.0] * 7), (203, [None] + [1.0] * 7), (None, [1.0] * 8), (205, [float("inf")] + [1.0] * 7), rows[5], (260, [30.0] * 8)]
+    rows += [(100 + i, rows[3][1]) for i in range(40)] + [(200, None), (201, [0.0] * 8), (202, [float("nan")] + [1.0] * 7), (203, [None] + [1.0] * 7), (None, [1.0] * 8), (205, [float("inf")] + [1.0] * 7), rows[5], (260, [30.0] * 8), (280, [1.0] * 7), (300, [])]
     frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, score int")
     got = collections.defaultdict(list)
     for x in neighbours.nearest(frame).orderBy("query_id", "rank").collect():

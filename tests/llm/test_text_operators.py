@@ -384,19 +384,38 @@ def test_lm_beats_the_base_on_held_out_rows(spark, data):
 # ---- 6 sharding ----
 
 
+def brute_shards(rows: list[tuple], shards: int) -> list[tuple]:
+    """(doc_id, source, size, crc, draw) to (doc_id, size, crc, shard, slot): ranks in each source, fractions, one order, equal cuts."""
+    first = lambda *x: tuple((v is not None, v or 0) if not isinstance(v, str) else (True, v) for v in x)  # noqa: E731  nulls come first
+    by_source = collections.defaultdict(list)
+    for i, source, size, crc, draw in rows:
+        by_source[source].append((draw, i, crc, size))
+    every = []
+    for source, own in by_source.items():
+        own.sort(key=lambda x: first(*x))
+        every += [((k + 0.5) / len(own), source, *x) for k, x in enumerate(own)]
+    every.sort(key=lambda x: (x[0], first(x[1]), first(*x[2:])))
+    shard = [k * shards // len(every) for k in range(len(every))]
+    return [(i, size, crc, shard[k], k - shard.index(shard[k])) for k, (_, _, _, i, crc, size) in enumerate(every)]
+
+
 def test_sharding(odd, none, spark, data):
-    for docs, shards, buckets in ((odd, 3, 4), (odd, 40, 1024), (table(spark, data, "documents"), 8, 16)):
-        got = sharding.shard(docs, shards, buckets=buckets).toPandas()
-        assert len(got) == docs.count()
+    one_each = spark.createDataFrame([(i, "t" * (i % 5), f"s{i}", 1, 2, 3) for i in range(300)], "doc_id long, text string, source string, draw int, at int, position int")
+    for docs, shards in ((odd, 3), (odd, 40), (one_each, 7), (table(spark, data, "documents"), 8)):
+        got = sharding.shard(docs, shards).toPandas()
+        draw = F.xxhash64(F.lit(17), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+        rows = [(r["doc_id"], r["source"], len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode()), r["d"]) for r in docs.select("doc_id", "source", "text", draw.alias("d")).collect()]
+        clean = lambda r: tuple(None if x != x else x for x in r)
+        assert sorted(map(clean, got[["doc_id", "size", "text_crc32", "shard", "slot"]].itertuples(index=False)), key=repr) == sorted(map(clean, pd_rows(brute_shards(rows, shards))), key=repr)
         sizes = got["shard"].value_counts()
         sizes = [int(sizes.get(k, 0)) for k in range(shards)]
         assert max(sizes) - min(sizes) <= 1
-        for k, g in got.groupby("shard"):
-            assert sorted(g["slot"]) == list(range(len(g)))
     # each shard holds the mixture
     mix = got.groupby(["shard", got["source"].fillna("")]).size().unstack(fill_value=0)
     assert (mix.max() - mix.min()).max() <= 3
-    text = {r["doc_id"]: (r["text"] or "").encode() for r in table(spark, data, "documents").collect()}
-    for r in got.to_dict("records"):
-        assert r["size"] == len(text[r["doc_id"]]) + 1 and r["text_crc32"] == zlib.crc32(text[r["doc_id"]])
     assert sharding.shard(none).count() == 0
+
+
+def pd_rows(rows: list[tuple]) -> list[tuple]:
+    """Ids as pandas gives them: floats where one is null."""
+    return [(float(r[0]) if r[0] is not None and any(x[0] is None for x in rows) else r[0], *r[1:]) for r in rows]
