@@ -85,25 +85,13 @@ def two_way_softmax(spark, sf_dir):
     return zero_shot.two_way(e, protos, "vec_id", "embedding", 2, 3)
 
 
-@query(
-    _PROTOS
-    + """SELECT vec_id, arg_max(label, s) AS pred, round(max(s) FILTER (label = 0), 4) AS sim_0, round(max(s) FILTER (label = 1), 4) AS sim_1,
-round(max(s) FILTER (label = 2), 4) AS sim_2, round(max(s) FILTER (label = 3), 4) AS sim_3, any_value(own) AS true_label,
-coalesce(arg_max(label, s) = any_value(own), false) AS agree FROM sims WHERE label < 4 GROUP BY vec_id"""
-)
-def genre_argmax_agree(spark, sf_dir):
-    e, protos = _embeddings(spark, sf_dir)
-    return zero_shot.classify(e, protos.where("label < 4"), "vec_id", "embedding", "label")
-
-
-# The same over all ten labels.
 @query(
     _PROTOS
     + "SELECT vec_id, arg_max(label, s) AS pred, "
     + ", ".join(f"round(max(s) FILTER (label = {k}), 4) AS sim_{k}" for k in range(10))
     + ", any_value(own) AS true_label, coalesce(arg_max(label, s) = any_value(own), false) AS agree FROM sims GROUP BY vec_id"
 )
-def genre_argmax_agree_all(spark, sf_dir):
+def genre_argmax_agree(spark, sf_dir):
     e, protos = _embeddings(spark, sf_dir)
     return zero_shot.classify(e, protos, "vec_id", "embedding", "label")
 
@@ -265,121 +253,70 @@ def delimited_parse(spark, sf_dir):
     return b.select("l_orderkey", F.size("b").cast("bigint").alias("n"), area.alias("area"), (F.get("b", 0)[2] * F.get("b", 0)[3]).alias("largest"))
 
 
-def _detections(spark, sf_dir, every: bool = False) -> DataFrame:
-    """Detections of two engines for each order: odd and even lines, all or three at most. Line numbers may repeat."""
+def _detections(spark, sf_dir) -> DataFrame:
+    """Detections of two engines for each order: odd and even lines. Line numbers may repeat."""
     i = _t(spark, sf_dir, "lineitem")
     box = F.array(F.col("l_quantity") / 100, F.col("l_discount") * 4, F.lit(0.3) + F.col("l_tax"), F.lit(0.2) + F.col("l_discount"))
     entry = F.struct("l_linenumber", F.struct(F.col("l_linestatus").alias("label"), (F.col("l_extendedprice") / 100000).alias("score"), box.alias("box")).alias("d"))
-    lines = lambda odd: F.transform(F.array_sort(F.collect_list(F.when(F.col("l_linenumber") % 2 == odd, entry))), lambda e: e["d"])
-    side = lambda odd, name: (lines(odd) if every else F.slice(lines(odd), 1, 3)).alias(name)
-    return i.groupBy("l_orderkey").agg(side(1, "a"), side(0, "b"))
+    side = lambda odd: F.transform(F.array_sort(F.collect_list(F.when(F.col("l_linenumber") % 2 == odd, entry))), lambda e: e["d"])
+    return i.groupBy("l_orderkey").agg(side(1).alias("a"), side(0).alias("b"))
 
 
-_SIDES_SQL = """WITH l AS (SELECT l_orderkey AS o, l_linenumber % 2 AS odd, l_linenumber AS line, l_linestatus AS label, l_extendedprice / 100000 AS score,
+_SIDES_SQL = """l AS (SELECT l_orderkey AS o, l_linenumber % 2 AS odd, l_linenumber AS line, l_linestatus AS label, l_extendedprice / 100000 AS score,
 l_quantity / 100 AS x, l_discount * 4 AS y, 0.3::DOUBLE + l_tax AS w, 0.2::DOUBLE + l_discount AS h FROM lineitem),
-d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o, odd ORDER BY line, label, score, x, y, w, h) AS n FROM l) WHERE n <= 3)"""
+d AS (SELECT *, row_number() OVER (PARTITION BY o, odd ORDER BY line, label, score, x, y, w, h) AS n FROM l)"""
 
-_BOXES_SQL = _SIDES_SQL + """,
+# A step for each detection of one side, best score first: its best partner among those that no earlier step used.
+_BOXES_SQL = "WITH RECURSIVE " + _SIDES_SQL + """,
 a AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY score DESC, n) AS r FROM d WHERE odd = 1),
 b AS (SELECT * FROM d WHERE odd = 0),
-w AS (SELECT a.o, a.r, b.n, a.score AS sa, b.score AS sb, a.label, greatest(least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x), 0) * greatest(least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y), 0) AS i,
+w AS (SELECT a.o, a.r, b.n, a.score AS sa, b.score AS sb, greatest(least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x), 0) * greatest(least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y), 0) AS i,
 a.w * a.h AS aa, b.w * b.h AS ab FROM a JOIN b ON a.o = b.o AND a.label = b.label),
-c AS (SELECT *, least(i / (aa + ab - i), 1) AS iou FROM w WHERE i / (aa + ab - i) >= 0.3),
-s1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o ORDER BY iou DESC, n DESC) AS k FROM c WHERE r = 1) WHERE k = 1),
-s2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o ORDER BY iou DESC, n DESC) AS k FROM c WHERE r = 2 AND NOT EXISTS (SELECT 1 FROM s1 WHERE s1.o = c.o AND s1.n = c.n)) WHERE k = 1),
-s3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o ORDER BY iou DESC, n DESC) AS k FROM c WHERE r = 3 AND NOT EXISTS (SELECT 1 FROM s1 WHERE s1.o = c.o AND s1.n = c.n)
-AND NOT EXISTS (SELECT 1 FROM s2 WHERE s2.o = c.o AND s2.n = c.n)) WHERE k = 1),
-m AS (SELECT o, round(iou, 4) AS iou, round(sa, 3) AS sa, round(sb, 3) AS sb FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3))
+c AS (SELECT o, r, n, {'iou': least(i / (aa + ab - i), 1), 'n': n, 'sa': sa, 'sb': sb} AS pair FROM w WHERE i / (aa + ab - i) >= 0.3),
+t AS (SELECT o, max(r) AS steps FROM c GROUP BY o),
+g AS (SELECT o, steps, CAST(0 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS used, CAST(NULL AS STRUCT(iou DOUBLE, n BIGINT, sa DOUBLE, sb DOUBLE)) AS pair FROM t
+UNION ALL SELECT g.o, any_value(g.steps), g.r + 1, CASE WHEN max(c.pair) IS NULL THEN any_value(g.used) ELSE list_append(any_value(g.used), max(c.pair).n) END, max(c.pair)
+FROM g LEFT JOIN c ON c.o = g.o AND c.r = g.r + 1 AND NOT list_contains(g.used, c.n) WHERE g.r < g.steps GROUP BY g.o, g.r),
+m AS (SELECT o, round(pair.iou, 4) AS iou, round(pair.sa, 3) AS sa, round(pair.sb, 3) AS sb FROM g WHERE pair IS NOT NULL)
 """
 
 
 @query(_BOXES_SQL + "SELECT o AS l_orderkey, count(*) AS n, round(sum(iou), 4) AS total_iou, round(max(least(sa, sb)), 4) AS top_score FROM m GROUP BY o")
 def box_iou_agreement(spark, sf_dir):
-    return _agreement(_detections(spark, sf_dir))
-
-
-def _agreement(detections: DataFrame) -> DataFrame:
-    p = detections.select("l_orderkey", B.greedy_match(F.col("a"), F.col("b"), 0.3).alias("p")).where(F.size("p") > 0)
+    p = _detections(spark, sf_dir).select("l_orderkey", B.greedy_match(F.col("a"), F.col("b"), 0.3).alias("p")).where(F.size("p") > 0)
     total = F.aggregate("p", F.lit(0.0), lambda s, x: s + x["iou"])
     s = B.pair_summary(F.col("p"))
     return p.select("l_orderkey", s["n"].cast("bigint").alias("n"), F.round(total, 4).alias("total_iou"), F.round(s["top_score"], 4).alias("top_score"))
 
 
 @query(
-    _SIDES_SQL
+    "WITH " + _SIDES_SQL
     + """, r AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY score DESC, n) AS r FROM d WHERE odd = 1 AND score >= 0.2 AND round(w, 4) * round(h, 4) BETWEEN 0.002 AND 0.1)
 SELECT o AS l_orderkey, count(*) FILTER (r <= 2) AS n, max(label) FILTER (r = 1) AS top_label, max(score) FILTER (r = 1) AS top_score FROM r GROUP BY o"""
 )
 def top_k_filter(spark, sf_dir):
-    return _best_two(_detections(spark, sf_dir))
-
-
-def _best_two(detections: DataFrame) -> DataFrame:
     kept = B.top(B.plausible(F.col("a"), max_area=0.1), 2)
-    s = detections.select("l_orderkey", B.summary(kept).alias("s")).where("s.n > 0")
+    s = _detections(spark, sf_dir).select("l_orderkey", B.summary(kept).alias("s")).where("s.n > 0")
     return s.select("l_orderkey", F.col("s.n").cast("bigint").alias("n"), "s.top_label", "s.top_score")
 
 
 @query(
-    _SIDES_SQL + " SELECT o AS l_orderkey, count(*) AS n_faces, round(sum(w * h), 4) AS face_area, round(max(score), 4) AS max_conf FROM d WHERE odd = 1 GROUP BY o"
+    "WITH " + _SIDES_SQL + " SELECT o AS l_orderkey, count(*) AS n_faces, round(sum(w * h), 4) AS face_area, round(max(score), 4) AS max_conf FROM d WHERE odd = 1 GROUP BY o"
 )
 def face_summary(spark, sf_dir):
-    return _faces(_detections(spark, sf_dir))
-
-
-def _faces(detections: DataFrame) -> DataFrame:
-    s = detections.select("l_orderkey", B.face_summary(F.col("a")).alias("s")).where("s.n_faces > 0")
+    s = _detections(spark, sf_dir).select("l_orderkey", B.face_summary(F.col("a")).alias("s")).where("s.n_faces > 0")
     return s.select("l_orderkey", F.col("s.n_faces").cast("bigint").alias("n_faces"), "s.face_area", "s.max_conf")
 
 
 @query(
-    _SIDES_SQL + " SELECT label, count(*) AS n, round(avg(score), 6) AS score FROM d WHERE odd = 1 GROUP BY label"
+    "WITH " + _SIDES_SQL + " SELECT label, count(*) AS n, round(avg(score), 6) AS score FROM d WHERE odd = 1 GROUP BY label"
 )
 def detection_explode(spark, sf_dir):
-    return _exploded(_detections(spark, sf_dir))
-
-
-def _exploded(detections: DataFrame) -> DataFrame:
-    text = detections.select(F.to_json("a").alias("boxes"))
+    text = _detections(spark, sf_dir).select(F.to_json("a").alias("boxes"))
     each = text.select(F.explode(B.parse_json(F.col("boxes"))).alias("d"))
     return each.groupBy("d.label").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("d.score"), 6).alias("score"))
 
 
-# The same over all lines of an order. The greedy match of sides of any length has no SQL; tests hold it against plain Python.
-
-_ALL_SIDES_SQL = """WITH l AS (SELECT l_orderkey AS o, l_linenumber % 2 AS odd, l_linenumber AS line, l_linestatus AS label, l_extendedprice / 100000 AS score,
-l_quantity / 100 AS x, l_discount * 4 AS y, 0.3::DOUBLE + l_tax AS w, 0.2::DOUBLE + l_discount AS h FROM lineitem),
-d AS (SELECT *, row_number() OVER (PARTITION BY o, odd ORDER BY line, label, score, x, y, w, h) AS n FROM l)"""
-
-
-@query()
-def box_iou_agreement_all(spark, sf_dir):
-    return _agreement(_detections(spark, sf_dir, every=True))
-
-
-@query(
-    _ALL_SIDES_SQL
-    + """, r AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY score DESC, n) AS r FROM d WHERE odd = 1 AND score >= 0.2 AND round(w, 4) * round(h, 4) BETWEEN 0.002 AND 0.1)
-SELECT o AS l_orderkey, count(*) FILTER (r <= 2) AS n, max(label) FILTER (r = 1) AS top_label, max(score) FILTER (r = 1) AS top_score FROM r GROUP BY o"""
-)
-def top_k_filter_all(spark, sf_dir):
-    return _best_two(_detections(spark, sf_dir, every=True))
-
-
-@query(
-    _ALL_SIDES_SQL + " SELECT o AS l_orderkey, count(*) AS n_faces, round(sum(w * h), 4) AS face_area, round(max(score), 4) AS max_conf FROM d WHERE odd = 1 GROUP BY o"
-)
-def face_summary_all(spark, sf_dir):
-    return _faces(_detections(spark, sf_dir, every=True))
-
-
-@query(
-    _ALL_SIDES_SQL + " SELECT label, count(*) AS n, round(avg(score), 6) AS score FROM d WHERE odd = 1 GROUP BY label"
-)
-def detection_explode_all(spark, sf_dir):
-    return _exploded(_detections(spark, sf_dir, every=True))
-
-
 @query(
     """WITH c AS (SELECT user_id, event_type, count(*) AS k FROM events GROUP BY 1, 2)
 SELECT user_id, string_agg(concat(event_type, ':', printf('%.2f', k / 100.0)), '|' ORDER BY event_type) AS tags, coalesce(max(k) FILTER (event_type = 'click'), 0) / 100.0::DOUBLE AS click,
@@ -473,16 +410,14 @@ def verdict_counts(spark, sf_dir):
     return evaluate.verdict_counts(reviews)
 
 
-_USERS_SQL = """WITH c AS (SELECT user_id, event_type, count(*) AS k FROM events WHERE event_id % 9 < 2 GROUP BY 1, 2),
-u AS (SELECT user_id, list(event_type) AS truths, arg_max(event_type, (k, event_type)) AS pred FROM (SELECT * FROM c ORDER BY event_type) GROUP BY user_id),
+_USERS_SQL = """WITH c AS (SELECT user_id, event_type, count(*) AS k FROM events GROUP BY 1, 2),
+u AS (SELECT user_id, list(event_type) AS truths, arg_max(event_type, (k, event_type)) AS pred FROM c GROUP BY user_id),
 s AS (SELECT list_intersect(truths, ['click', 'purchase', 'error']) AS t, pred FROM u WHERE list_has_any(truths, ['click', 'purchase', 'error']))
 """
 
 
-def _containment(spark, sf_dir, every: bool = False):
-    """Of all events, or of the two in nine that _USERS_SQL names."""
-    events = _t(spark, sf_dir, "events")
-    c = (events if every else events.where("event_id % 9 < 2")).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("k"))
+def _containment(spark, sf_dir):
+    c = _t(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("k"))
     users = c.groupBy("user_id").agg(F.collect_set("event_type").alias("truths"), F.max(F.struct("k", "event_type"))["event_type"].alias("pred"))
     return evaluate.containment(users, "truths", "pred", ["click", "purchase", "error"])
 
@@ -506,33 +441,6 @@ def containment_breakdown(spark, sf_dir):
     return _containment(spark, sf_dir)[2]
 
 
-# The same over all events: whole truth sets and modal types of all users.
-
-_ALL_USERS_SQL = """WITH c AS (SELECT user_id, event_type, count(*) AS k FROM events GROUP BY 1, 2),
-u AS (SELECT user_id, list(event_type) AS truths, arg_max(event_type, (k, event_type)) AS pred FROM c GROUP BY user_id),
-s AS (SELECT list_intersect(truths, ['click', 'purchase', 'error']) AS t, pred FROM u WHERE list_has_any(truths, ['click', 'purchase', 'error']))
-"""
-
-
-@query(_ALL_USERS_SQL + "SELECT pred AS label, count(*) AS n, round(count(*) FILTER (list_contains(t, pred)) / count(*), 6) AS precision FROM s GROUP BY pred")
-def containment_precision_all(spark, sf_dir):
-    return _containment(spark, sf_dir, every=True)[0]
-
-
-@query(
-    _ALL_USERS_SQL
-    + """, x AS (SELECT unnest(t) AS label, pred, t FROM s) SELECT label, count(*) AS n, round(count(*) FILTER (pred = label) / count(*), 6) AS strict_recall,
-round(count(*) FILTER (list_contains(t, pred)) / count(*), 6) AS lenient_recall FROM x GROUP BY label"""
-)
-def containment_recall_all(spark, sf_dir):
-    return _containment(spark, sf_dir, every=True)[1]
-
-
-@query(_ALL_USERS_SQL + ", x AS (SELECT unnest(t) AS label, pred FROM s) SELECT label, pred, count(*) AS n FROM x GROUP BY label, pred")
-def containment_breakdown_all(spark, sf_dir):
-    return _containment(spark, sf_dir, every=True)[2]
-
-
 # ---- samples ----
 
 _SAMPLE_SQL = """WITH b AS (SELECT event_id, event_type, value, md5('42|' || CAST(event_id AS VARCHAR)) AS d, CASE WHEN value / 100 < 0.3 THEN 'low' WHEN value / 100 < 0.5 THEN 'mid' ELSE 'high' END AS bucket FROM events)

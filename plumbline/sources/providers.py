@@ -1,17 +1,13 @@
 """Model inference behind an interface: a provider says what it is and turns batches into batches.
 
-Results carry the provider's revision. Without weights or network there are two providers: one that derives vectors from
-a hash (for tests) and recorded responses, which are flattened by expressions in `responses`.
+Results carry the provider's revision. Recorded responses are flattened by expressions in `responses`.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 from typing import Protocol
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
@@ -24,29 +20,6 @@ class Provider(Protocol):
     def infer(self, batch: pd.DataFrame) -> pd.DataFrame: ...
 
 
-@dataclass(frozen=True)
-class HashEmbedder:
-    """Unit vectors from a hash of the input's bytes or text."""
-
-    name: str = "hash-embedder"
-    revision: str = "1"
-    dimensions: int = 512
-    column: str = "content"
-
-    @property
-    def output(self) -> str:
-        return "vec array<float>"
-
-    def infer(self, batch: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for x in batch[self.column]:
-            raw = x if isinstance(x, (bytes, bytearray)) else str(x).encode()
-            seed = int.from_bytes(hashlib.sha256(bytes(raw)).digest()[:8], "little")
-            v = np.random.default_rng(seed).normal(size=self.dimensions)
-            out.append((v / np.linalg.norm(v)).astype(np.float32).tolist())
-        return pd.DataFrame({"vec": out})
-
-
 def run(rows: DataFrame, provider: Provider, key: str = "id", batch: int = 64) -> DataFrame:
     """(key, provider's columns, revision, error): one inference a row, in batches; a broken batch is tried row by row."""
     names = [c.strip().split()[0] for c in provider.output.split(", ")]

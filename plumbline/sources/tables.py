@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -174,3 +175,14 @@ def with_errors(result: Column, error: Column, most: int = 200) -> Column:
 
 def union_all(tables: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def built(spark: SparkSession, path: str, make: Callable[[], DataFrame], force: bool = False) -> DataFrame:
+    """The table at path, made and written first where it is missing (or with force). make() may call built() for what it needs.
+
+    A table counts as there once its _SUCCESS marker is, so one whose writer was lost is made again.
+    """
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    if force or not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

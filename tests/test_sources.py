@@ -1,13 +1,13 @@
 """Files, control, plans, providers, responses and streams."""
 
 import json
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.operators import assemble, sampling, time_joins
-from plumbline.plans.dag import Target, build, plan
 from plumbline.plans.rules import SIGNALS
 from plumbline.operators.evaluate import decide
 from plumbline.session import ship
@@ -59,14 +59,22 @@ def test_gz_titles_and_pins(spark, tmp_path):
     assert {r["name"]: r["ok"] for r in tables.verified_files(spark, f"{tmp_path}/w", pins).collect()} == {"a.bin": True, "b.bin": False}
 
 
-def test_dag():
-    built: list[str] = []
-    target = lambda name, *needs: Target(name, lambda: built.append(name), lambda: name in built, needs)
-    targets = [target("agree", "a", "b"), target("a"), target("b"), target("master", "agree")]
-    assert build(targets, ["master"])[-2:] == ["agree", "master"] and set(built) == {"a", "b", "agree", "master"}
-    assert plan(targets) == []
-    with pytest.raises(KeyError):
-        plan(targets, ["nothing"])
+def test_built_makes_what_is_missing(spark, tmp_path):
+    made: list[str] = []
+
+    def target(name, *needs, force=False):
+        def make():
+            made.append(name)
+            return reduce(lambda a, b: a.union(b), [target(n) for n in needs], spark.createDataFrame([(name,)], "name string"))
+
+        return tables.built(spark, f"{tmp_path}/{name}", make, force)
+
+    assert {r["name"] for r in target("master", "a", "b").collect()} == {"master", "a", "b"} and made == ["master", "a", "b"]
+    assert target("master", "a", "b").count() == 3 and len(made) == 3
+    assert target("a", force=True).count() == 1 and made[3:] == ["a"]
+    # a table without its marker is made again
+    (tmp_path / "b" / "_SUCCESS").unlink()
+    assert target("b").count() == 1 and made[4:] == ["b"]
 
 
 def test_rules(spark):
@@ -96,18 +104,37 @@ def test_master_keeps_first_rows(spark):
     assert tuple(assemble.rollup(faces, "id", "face_idx", "label", "score").first()) == ("1", 2, "calm:0.5")
 
 
-def test_providers(spark):
+@pytest.fixture
+def embedder():
+    """A provider of unit vectors drawn from a hash of the row's content."""
+
+    class HashEmbedder:
+        name, revision, output = "hash", "1", "vec array<float>"
+
+        def infer(self, batch):
+            import zlib
+
+            import numpy as np
+            import pandas as pd
+
+            draw = lambda x: np.random.default_rng(zlib.crc32(x.encode())).normal(size=8)
+            return pd.DataFrame({"vec": [(v / np.linalg.norm(v)).tolist() for v in map(draw, batch["content"])]})
+
+    return HashEmbedder()
+
+
+def test_providers(spark, embedder):
     ship(spark)
     rows = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "x")], "id string, content string")
-    got = {r["id"]: r for r in providers.run(rows, providers.HashEmbedder(dimensions=8)).collect()}
+    got = {r["id"]: r for r in providers.run(rows, embedder).collect()}
     assert got["a"]["vec"] == got["c"]["vec"] != got["b"]["vec"] and got["a"]["revision"] == "1" and got["a"]["error"] is None
     assert abs(sum(x * x for x in got["a"]["vec"]) - 1) < 1e-5
 
 
-def test_broken_rows_become_errors(spark):
+def test_broken_rows_become_errors(spark, embedder):
     ship(spark)
     rows = spark.createDataFrame([("a", "x")], "id string, wrong string")
-    row = providers.run(rows, providers.HashEmbedder(dimensions=8)).first()
+    row = providers.run(rows, embedder).first()
     assert row["vec"] is None and row["error"]
 
 

@@ -17,13 +17,13 @@ def test_containment_reads_all_events(spark, data):
     targets = {"click", "purchase", "error"}
     scored = [(set(c) & targets, max((k, t) for t, k in c.items())[1]) for c in users.values() if set(c) & targets]
     run = lambda name: engine.queries()[name](spark, data).collect()
-    assert {r["label"]: (r["n"], r["precision"]) for r in run("containment_precision_all")} == {
+    assert {r["label"]: (r["n"], r["precision"]) for r in run("containment_precision")} == {
         p: (n, round(sum(q == p and q in t for t, q in scored) / n, 6)) for p, n in Counter(q for _, q in scored).items()
     }
     pairs = Counter((label, q) for t, q in scored for label in t)
-    assert {(r["label"], r["pred"]): r["n"] for r in run("containment_breakdown_all")} == pairs
+    assert {(r["label"], r["pred"]): r["n"] for r in run("containment_breakdown")} == pairs
     whole = {label: [(t, q) for t, q in scored if label in t] for label in targets}
-    assert {r["label"]: (r["n"], r["strict_recall"], r["lenient_recall"]) for r in run("containment_recall_all")} == {
+    assert {r["label"]: (r["n"], r["strict_recall"], r["lenient_recall"]) for r in run("containment_recall")} == {
         label: (len(x), round(sum(q == label for _, q in x) / len(x), 6), round(sum(q in t for t, q in x) / len(x), 6)) for label, x in whole.items() if x
     }
 
@@ -64,14 +64,14 @@ def test_boxes_of_all_lines(spark, tmp_path):
         if pairs:
             matched[o] = (len(pairs), sum(v for v, _ in pairs), max(s for _, s in pairs))
     assert max(n for n, _, _ in faces.values()) > 3 and max(n for n, _, _ in matched.values()) > 3
-    assert run("face_summary_all") == close(faces)
-    assert run("top_k_filter_all") == close(best)
-    assert run("box_iou_agreement_all") == close(matched)
-    assert run("detection_explode_all") == close({label: (len(x), sum(x) / len(x)) for label, x in flat.items()})
+    assert run("face_summary") == close(faces)
+    assert run("top_k_filter") == close(best)
+    assert run("box_iou_agreement") == close(matched)
+    assert run("detection_explode") == close({label: (len(x), sum(x) / len(x)) for label, x in flat.items()})
 
 
 def test_genres_of_all_labels(spark, data):
-    out = engine.queries()["genre_argmax_agree_all"](spark, data).toPandas()
+    out = engine.queries()["genre_argmax_agree"](spark, data).toPandas()
     labels = set(pd.read_parquet(f"{data}/embeddings.parquet")["label"])
     assert {f"sim_{k}" for k in labels} <= set(out.columns)
     agreeing = out[out["agree"]]
