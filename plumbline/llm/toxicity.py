@@ -239,7 +239,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fits on labelled rows that aren't held out, in one task.
 
     A row with two labels counts as toxic; null ids and labels are left out. Null text counts as empty. Of several texts
-    with one id the smallest is taken. Without labels of both classes the model is the share of toxic ones.
+    with one id the smallest is taken. Without labels of both classes, or none of
+    their ids in docs, the model is the share of toxic ones.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.max("label").alias("label"))
@@ -265,6 +266,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # the sample is bounded, so one task may read it
     made = rows.repartition(1).sortWithinPartitions("id").mapInArrow(run, "part binary, bias double").first()
     discard(sample)
+    if made is None:  # none of the labelled ids is in docs
+        return _constant(prior)
     return Model(np.frombuffer(bytes(made["part"]), np.float64), made["bias"])
 
 
