@@ -42,7 +42,7 @@ class EliasFano:
         v = np.asarray(values, np.uint64)
         n = len(v)
         top = int(v[-1]) + 1 if n else 1
-        bits = max(0, (top // max(n, 1)).bit_length() - 1)
+        bits = min(63, max(0, (top // max(n, 1)).bit_length() - 1))
         place = (v >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         words = (int(place[-1]) if n else 0) // 64 + 2
         flags = np.zeros(words * 64, bool)

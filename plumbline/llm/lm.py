@@ -1,6 +1,7 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-Level 1 holds the training words: sorted 64-bit word identities, counts and quantised backoff weights. Level 2 holds the
+Level 1 holds the training words: per shard an Elias-Fano sequence of 64-bit word identities, their counts and quantised
+backoff weights; a word's place in it is its number. Level 2 holds the
 word pairs seen at least PRUNE times: per shard, an Elias-Fano sequence of contexts, one of pointers to their successors,
 one of the successors' word numbers (each context's run lifted by the last value before it, so that the whole is
 monotone) and quantised discounted probabilities. A pair is looked up by a successor search within its context's run.
@@ -127,14 +128,29 @@ def _unplanes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
 
+def _base(k: int, bits: int) -> np.uint64:
+    """The first identity that belongs to shard k of 2 ** bits."""
+    return np.uint64(k << (64 - bits) if bits else 0)
+
+
 class Words:
     """Level 1: numbers, counts and backoff weights of words by identity."""
 
     def __init__(self, folder: str, bits: int, sizes: tuple[int, ...], with_backoff: bool):
         self.bits, self.offset = bits, np.r_[0, np.cumsum(sizes)]
-        self.shards = [_load(f"{folder}/words-{k}") if n else None for k, n in enumerate(sizes)]
+        self.shards = [self._opened(f"{folder}/words-{k}") if n else None for k, n in enumerate(sizes)]
         self.backoffs = [_load(f"{folder}/backoff-{k}")[0] if n and with_backoff else None for k, n in enumerate(sizes)]
 
+    @staticmethod
+    def save(path: str, names: np.ndarray, counts: np.ndarray) -> None:
+        """Ascending identities, counted from the shard's first possible one on, and their counts."""
+        _save(path, [*EliasFano.of(names).arrays(), counts.astype(np.uint64)])
+
+    @staticmethod
+    def _opened(path: str) -> tuple[EliasFano, np.ndarray]:
+        a = _load(path)
+        return EliasFano.from_arrays(a[:5]), a[5]
+
     def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number or -1, count) of ascending identities."""
         number, count = np.full(len(names), -1, np.int64), np.zeros(len(names), np.int64)
@@ -143,8 +159,8 @@ class Words:
             if self.shards[k] is None or i == j:
                 continue
             have, n = self.shards[k]
-            at = np.minimum(np.searchsorted(have, names[i:j]), len(have) - 1)
-            hit = have[at] == names[i:j]
+            place, hit = have.successor(names[i:j] - _base(k, self.bits))
+            at = np.minimum(place, have.n - 1)
             number[i:j] = np.where(hit, at + self.offset[k], -1)
             count[i:j] = np.where(hit, n[at], 0)
         return number, count
@@ -311,7 +327,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         names = rows["name"].to_numpy().view(np.uint64)
         order = np.argsort(names)
         k = int(rows["shard"].iloc[0])
-        _save(f"{folder}/words-{k}", [names[order], rows["n"].to_numpy()[order].astype(np.uint64)])
+        Words.save(f"{folder}/words-{k}", names[order] - _base(k, bits), rows["n"].to_numpy()[order])
         return pd.DataFrame({"shard": [k], "size": [len(rows)]})
 
     parts = counted.withColumn("shard", shard).groupBy("shard").applyInPandas(write_words, "shard int, size long").collect()
@@ -369,7 +385,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         mass = np.zeros(sizes[k])
         has = rows["word"].notna().to_numpy()
         mass[rows["word"].to_numpy()[has].astype(np.int64) - offset[k]] = rows["mass"].to_numpy()[has]
-        counts = _load(f"{folder}/words-{k}")[1].astype(np.float64)
+        counts = _load(f"{folder}/words-{k}")[5].astype(np.float64)
         _save(f"{folder}/backoff-{k}", [_quantised(1 - mass / counts)])
         return pd.DataFrame({"shard": [k]})
 
