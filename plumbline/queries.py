@@ -13,7 +13,7 @@ from .functions import labels as L
 from .functions import vectors as V
 from .operators import assemble, evaluate, heatmap, palette, pose, registers, sampling, time_joins, zero_shot
 from .session import ship
-from .sources import tables
+from .sources import responses, tables
 from .streaming import incremental
 
 _FOUND: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -229,6 +229,46 @@ def vocabulary_union(spark, sf_dir):
     return tables.union_all([named("nation", "n_name"), named("region", "r_name")]).groupBy("name", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    """SELECT CAST(p_partkey AS VARCHAR) AS id, concat('"', p_name, '", ', p_type) AS title, p_retailprice AS symmetry, CASE WHEN p_size % 3 > 0 THEN p_size / 50.0::DOUBLE END AS thirds_dist,
+CAST(p_size AS INTEGER) AS n_blocks, CAST(NULL AS DOUBLE) AS harmony FROM part"""
+)
+def csv_round_trip(spark, sf_dir):
+    """A metric table written as CSV (quotes doubled, nulls as the files' sentinels) and read again with its types."""
+    third = F.when(F.col("p_size") % 3 > 0, F.col("p_size") / 50)
+    parts = _t(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("id"), F.concat(F.lit('"'), "p_name", F.lit('", '), "p_type").alias("title"), F.col("p_retailprice").alias("symmetry"),
+        third.alias("thirds_dist"), F.col("p_size").cast("int").alias("n_blocks"),
+    )
+    path = tables.new_path(spark, "metrics")
+    tables.write_csv(parts, path, "geometric_composition")
+    return tables.read_table(spark, path, "geometric_composition").select("id", "title", "symmetry", "thirds_dist", "n_blocks", "harmony")
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'first' ELSE 'second' END AS run, o_totalprice FROM orders")
+def resumed_append(spark, sf_dir):
+    """A run that ended early, and a second one over everything: rows of the first one stay."""
+    orders = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice")
+    path = tables.new_path(spark, "appended")
+    tables.append_once(orders.where("id % 3 = 0").withColumn("run", F.lit("first")), path)
+    tables.append_once(orders.withColumn("run", F.lit("second")), path)
+    return tables.first_written(spark, path)
+
+
+@query(
+    """WITH d AS (SELECT l_orderkey, l_returnflag AS f, l_quantity * 2 / 100 AS c, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag, l_quantity) AS r FROM lineitem)
+SELECT l_orderkey, string_agg(concat(f, ':', printf('%.2f', c)), '|' ORDER BY r) FILTER (r <= 10) AS labels, max(f) FILTER (r = 1) AS top, round(max(c) FILTER (r = 1), 4) AS top_conf,
+coalesce(max(c) FILTER (f IN ('R', 'A')), 0) AS returned, 0 AS n_boxes, 0 AS n_faces, '' AS label_boxes FROM d GROUP BY l_orderkey"""
+)
+def recorded_labels(spark, sf_dir):
+    """Recorded answers of a label service, one JSON text for each order, to flat rows."""
+    entry = F.struct("l_linenumber", F.struct(F.col("l_returnflag").alias("Name"), (F.col("l_quantity") * 2).alias("Confidence")).alias("e"))
+    named = F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["e"])
+    answers = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.to_json(F.struct(named.alias("Labels"))).alias("l")).withColumn("f", F.lit("{}"))
+    flat = responses.label_service(answers, "l", "f", {"returned": ["r", "a"]}, "l_orderkey")
+    return flat.select("l_orderkey", "labels", "top", "top_conf", "returned", "n_boxes", "n_faces", "label_boxes")
+
+
 # ---- texts and boxes ----
 
 
@@ -554,7 +594,15 @@ def layout_alignment(spark, sf_dir):
     return heatmap.layout_alignment(blocks, "l_orderkey", F.lit(97.0), F.lit(53.0))
 
 
-@query()
+@query(
+    """WITH k AS (SELECT p_partkey AS id, i, CAST(p_partkey * (i + 3) % 97 AS DOUBLE) AS x, CAST(p_partkey * (i + 7) % 89 AS DOUBLE) AS y, (p_partkey * (i + 1) % 11) / 10.0::DOUBLE AS s FROM part, range(0, 17) t(i)),
+m AS (SELECT id, count(*) FILTER (s >= 0.3) AS n, bool_and(s >= 0.3) FILTER (i IN (5, 6, 11, 12)) AS torso, avg(x) FILTER (i IN (5, 6, 11, 12)) AS tx, avg(y) FILTER (i IN (5, 6, 11, 12)) AS ty,
+avg(x) FILTER (s >= 0.3) AS mx, avg(y) FILTER (s >= 0.3) AS my, (max(x) FILTER (s >= 0.3) - min(x) FILTER (s >= 0.3)) * (max(y) FILTER (s >= 0.3) - min(y) FILTER (s >= 0.3)) AS area, avg(s) AS conf FROM k GROUP BY id),
+d AS (SELECT k.id, i, s, sqrt(pow(x - CASE WHEN torso THEN tx ELSE mx END, 2) + pow(y - CASE WHEN torso THEN ty ELSE my END, 2)) AS d FROM k JOIN m ON m.id = k.id),
+p AS (SELECT l.id, avg(abs(l.d - r.d) / 100) AS off FROM d l JOIN d r ON l.id = r.id AND l.i % 2 = 1 AND r.i = l.i + 1 AND l.s >= 0.3 AND r.s >= 0.3 GROUP BY l.id)
+SELECT m.id AS p_partkey, CASE WHEN n >= 3 THEN round(area / 9000, 4) END AS kpt_bbox_area_frac, CASE WHEN n >= 3 THEN round(off, 4) END AS limb_asymmetry, round(conf, 3) AS mean_kpt_confidence
+FROM m LEFT JOIN p ON p.id = m.id"""
+)
 def keypoint_summary(spark, sf_dir):
     place = lambda k: F.array((F.col("p_partkey") * (k + 3) % 97).cast("double"), (F.col("p_partkey") * (k + 7) % 89).cast("double"), (F.col("p_partkey") * (k + 1) % 11) / 10)
     parts = _t(spark, sf_dir, "part").select("p_partkey", F.array(*[place(k) for k in range(17)]).alias("k"))
