@@ -102,6 +102,41 @@ def linear_head(spark, sf_dir):
     return _t(spark, sf_dir, "embeddings").select("vec_id", F.round(V.affine(F.col("embedding"), weights, bias), 5).alias("value"))
 
 
+# ---- validation modes: results against what was expected ----
+
+
+@query(
+    _PROTOS
+    + """, m AS (SELECT vec_id, max(s) AS top, arg_max(label, s) AS best FROM sims GROUP BY vec_id),
+c AS (SELECT sims.vec_id, any_value(best) AS best, any_value(own) AS own, round(1 / sum(exp((s - top) * 100)), 3) AS score FROM sims JOIN m USING (vec_id) GROUP BY sims.vec_id),
+d AS (SELECT vec_id, own, CASE WHEN score < 0.5 THEN 'uncertain' ELSE CAST(best AS VARCHAR) END AS label FROM c)
+SELECT vec_id, label, label = CAST(own AS VARCHAR) OR (label = 'uncertain' AND own % 3 = 0) AS ok FROM d"""
+)
+def census_validation(spark, sf_dir):
+    e, protos = _embeddings(spark, sf_dir)
+    own = F.array(F.col("label").cast("string"))
+    expected = e.select("vec_id", F.when(F.col("label") % 3 == 0, F.array_append(own, "none")).otherwise(own).alias("labels"))
+    return zero_shot.validate_sets(zero_shot.census(e, protos, "vec_id", "embedding"), expected, "vec_id")
+
+
+@query(_PROTOS + ", a AS (SELECT vec_id, any_value(own) AS own, max(s) FILTER (label = 0) - max(s) FILTER (label = 1) AS axis FROM sims GROUP BY vec_id) SELECT round(corr(axis, own), 6) AS correlation FROM a")
+def axis_validation(spark, sf_dir):
+    e, protos = _embeddings(spark, sf_dir)
+    expected = e.select("vec_id", F.col("label").alias("rank"))
+    found = zero_shot.validate_rank(zero_shot.axis(e, protos, "vec_id", "embedding", 0, 1).select("vec_id", "axis"), expected, "vec_id")
+    return found.select(F.round("correlation", 6).alias("correlation"))
+
+
+@query(
+    """WITH n AS (SELECT l_orderkey, count(*) AS n, count(DISTINCT l_linenumber) + l_orderkey % 3 AS expected FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, n, expected, abs(n - expected) <= 1 AS ok FROM n"""
+)
+def count_validation(spark, sf_dir):
+    lines = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+    expected = lines.agg(F.count_distinct("l_linenumber").alias("k")).select("l_orderkey", (F.col("k") + F.col("l_orderkey") % 3).alias("expected"))
+    return zero_shot.validate_count(lines.agg(F.count(F.lit(1)).alias("n")), expected, "l_orderkey")
+
+
 # ---- registers, trends, correlations ----
 
 
