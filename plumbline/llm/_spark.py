@@ -100,6 +100,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     pairs = links.select("a", "b").where("a <> b")
     both = written(pairs.union(pairs.select("b", "a")).distinct(), "links")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("id"), F.col("b").alias("root"))
     label = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
     held = [label]
     while True:
@@ -116,3 +118,17 @@ def components(links: DataFrame) -> DataFrame:
         if not changed:
             discard(both)
             return label
+
+
+def extended(root: DataFrame, links: DataFrame) -> DataFrame:
+    """The components root (id, root) with further links (a, b): only roots that links connect are labelled again.
+
+    The same rows as components() of all links. Without further links root itself.
+    """
+    if links.isEmpty():
+        return root
+    of = lambda c: root.select(F.col("id").alias(c), F.col("root").alias(f"{c}_root"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    moved = components(between.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
+    known = root.join(moved.select(F.col("id").alias("root"), F.col("root").alias("to")), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
+    return written(known.unionByName(moved.join(root.select("id"), "id", "left_anti")), "roots")

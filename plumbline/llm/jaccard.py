@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import components, discard, written
+from ._spark import components, discard, extended, written
 from ._words import mix, pieces, span_hashes, words
 
 N = 5
@@ -564,6 +564,8 @@ class Join:
         """The pairs (a, b) of classes that link."""
         of = lambda c: self.classes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
         pairs = written(pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").mapInArrow(_near, "a long, b long, nb int"), "pairs")
+        if pairs.isEmpty():  # no text has to be read again
+            return pairs.select("a", "b")
         sets = self.sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
         blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("nb") / SHINGLES)).cast("int")
         sizes = written(pairs.groupBy("a").agg(blocks.alias("blocks")), "sizes")
@@ -629,7 +631,8 @@ class Join:
         rows = self.prefixes().repartition("ngram", "salt").sortWithinPartitions("ngram", "cid")
         found = written(rows.mapInArrow(_candidates, "a long, b long, ngram long, cid long, place long"), "candidates")
         # a class's copies come from several tasks
-        return found.where("a is not null").select("a", "b").distinct(), found.where("ngram is not null").groupBy("ngram", "cid").agg(F.min("place").alias("place"))
+        many = written(found.where("ngram is not null").groupBy("ngram", "cid").agg(F.min("place").alias("place")), "many")
+        return found.where("a is not null").select("a", "b").distinct(), many
 
     @staticmethod
     def apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
@@ -642,10 +645,14 @@ class Join:
         if grams is not None:
             rank = F.row_number().over(Window.partitionBy("cid").orderBy("place", "ngram"))
             many = many.withColumn("r", rank).where(F.col("r") <= grams).drop("r")
-        named = many.join(root.withColumnRenamed("id", "cid"), "cid", "left").join(self.classes.select("cid", "sketch"), "cid")
-        named = written(named.select("ngram", "cid", "place", F.coalesce("root", "cid").alias("root"), "sketch"), "common")
-        mixed = named.groupBy("ngram").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("ngram")
-        mixed = named.join(mixed, "ngram").withColumn("n", F.shiftright("place", 32))
+        named = many.join(root.withColumnRenamed("id", "cid"), "cid", "left").select("ngram", "cid", "place", F.coalesce("root", "cid").alias("root"))
+        named = written(named, "common")
+        # sketches join only the rows of n-grams whose classes aren't all connected
+        mixed = written(named.groupBy("ngram").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("ngram"), "mixed")
+        if mixed.isEmpty():
+            return mixed.select(F.col("ngram").alias("a"), F.col("ngram").alias("b"))
+        mixed = written(named.join(mixed, "ngram").join(self.classes.select("cid", "sketch"), "cid").withColumn("n", F.shiftright("place", 32)), "cells")
+        discard(named)
         cells = _cells(mixed, "ngram", CELL).select("ngram", "low", "high", "own", "cid", "place", "root", "sketch")
         cells = cells.repartition("ngram", "low", "high").sortWithinPartitions("ngram", "low", "high")
         return cells.mapInArrow(lambda b: _cell_pairs(b, nearest), "a long, b long").distinct()
@@ -664,12 +671,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cast to long. Extra columns aren't read. An empty table gives no rows.
     """
     join = Join(docs, id_col, text_col)
-    links = join.links(join.stars())
+    root = components(join.links(join.stars()))
     few, many = join.prefix_pairs()
-    links = links.unionByName(join.links(join.apart(few, components(links))))
+    root = extended(root, join.links(join.apart(few, root)))
     for grams, nearest in (*ROUNDS, (None, None)):
-        links = links.unionByName(join.links(join.common_pairs(many, components(links), grams, nearest)))
-    root = components(links)
+        root = extended(root, join.links(join.common_pairs(many, root, grams, nearest)))
     copies = written(join.rows.where("n > 0").groupBy("cid").agg(F.count(F.lit(1)).alias("copies")), "copies")
     per_class = copies.join(root.withColumnRenamed("id", "cid"), "cid", "left")
     if count_links:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import exact_dedup, jaccard, lm, pii, sharding, toxicity
 from plumbline.llm import queries as Q
-from plumbline.llm._spark import components, ship, table
+from plumbline.llm._spark import components, extended, ship, table
 from plumbline.llm._words import words
 from plumbline.llm.elias_fano import EliasFano
 
@@ -64,6 +64,13 @@ def test_components(spark):
     got = {x["id"]: x["root"] for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent if any(a != b and x in (a, b) for a, b in edges)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    # the same from links that come in three parts, the last one empty
+    parts = [spark.createDataFrame(e, "a long, b long") for e in (edges[::3], edges[1::3] + edges[2::3], [])]
+    root = components(parts[0])
+    for part in parts[1:]:
+        root = extended(root, part)
+    assert sorted((x["id"], x["root"]) for x in root.collect()) == sorted(got.items())
+    assert extended(components(parts[2]), parts[2]).count() == 0
 
 
 # ---- 1 toxicity ----
