@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import variants as V
+
 DETECTIONS = "array<struct<label:string,score:double,box:array<double>>>"
 #: Shares of the image below and above which a detection is noise, its least score, and how many are kept.
 MIN_SCORE, MIN_AREA, MAX_AREA, KEEP = 0.2, 0.002, 0.95, 3
@@ -24,10 +26,23 @@ def format_delimited(boxes: Column) -> Column:
 
 
 def parse_json(text: Column) -> Column:
-    """JSON list of detections; null, empty and broken texts give an empty list, boxes without four numbers go, no score is 0."""
-    rows = F.coalesce(F.from_json(text, DETECTIONS), F.array().cast(DETECTIONS))
-    good = F.filter(rows, lambda d: d.isNotNull() & (F.size(d["box"]) == 4) & ~F.exists(d["box"], lambda v: v.isNull()))
-    return F.transform(good, lambda d: F.struct(F.coalesce(d["label"], F.lit("")).alias("label"), F.coalesce(d["score"], F.lit(0.0)).alias("score"), d["box"].alias("box")))
+    """JSON list of detections, read element by element: array of struct(label, score, box).
+
+    Null, empty and broken texts and JSON that is no list give an empty list. Elements that are no objects, boxes without four numbers and
+    scores that are no numbers cost only their element. Numbers may stand in texts. A missing or empty score is 0, a missing label ''.
+    """
+    found = F.filter(V.items(V.parsed(text)), V.is_object)
+    label, score = (lambda d: V.field(d, "label")), (lambda d: V.field(d, "score"))
+    made = F.transform(
+        found,
+        lambda d: F.struct(
+            F.when(label(d).isNull(), "").otherwise(V.text(label(d))).alias("label"),
+            F.when(V.empty(score(d)), F.lit(0.0)).otherwise(V.number(score(d))).alias("score"),
+            F.transform(V.items(V.field(d, "box")), V.number).alias("box"),
+        ),
+    )
+    good = F.filter(made, lambda d: (F.size(d["box"]) == 4) & ~F.exists(d["box"], lambda v: v.isNull()) & d["score"].isNotNull())
+    return F.coalesce(good, F.array()).cast(DETECTIONS)
 
 
 def iou(a: Column, b: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.order import at_ranks, hot_keys, quantiles
+
 
 def normalized(cells: DataFrame, key: str, value: str = "value") -> DataFrame:
     """Values to [0, 1] within each key; a flat map (range under 1e-6) to zeros."""
@@ -13,27 +15,53 @@ def normalized(cells: DataFrame, key: str, value: str = "value") -> DataFrame:
     return cells.join(span, key).withColumn(value, F.when(width < 1e-6, F.lit(0.0)).otherwise((F.col(value) - F.col("__least")) / F.when(width > 0, width))).drop("__least", "__most")
 
 
-def depth_summary(cells: DataFrame, key: str, value: str = "value", near: float = 0.7) -> DataFrame:
-    """Mean, 95th percentile (linear), population deviation and the share above `near` of normalized values."""
+def _split(cells: DataFrame, key: str, hot: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """(cells of keys that fit a task, cells of the others or None)."""
+    large = hot_keys(cells, key, hot)
+    if large is None:
+        return cells, None
+    return cells.join(large, key, "left_anti"), cells.join(large, key, "left_semi")
+
+
+def depth_summary(cells: DataFrame, key: str, value: str = "value", near: float = 0.7, hot: int | None = None) -> DataFrame:
+    """Mean, 95th percentile (linear), population deviation and the share above `near` of normalized values.
+
+    Maps of up to `hot` cells (order.HOT) keep their values in one task; those of larger ones are bracketed by sketches and counted in parts.
+    """
     v = F.col(value)
-    return normalized(cells, key, value).groupBy(key).agg(
-        F.round(F.avg(v), 4).alias("mean_depth"), F.round(F.percentile(v, 0.95), 4).alias("p95_depth"),
-        F.round(F.stddev_pop(v), 4).alias("depth_std"), F.round(F.avg((v > near).cast("double")), 4).alias("close_area_frac"),
-    )
+    mean, deviation = F.round(F.avg(v), 4).alias("mean_depth"), F.round(F.stddev_pop(v), 4).alias("depth_std")
+    close = F.round(F.avg((v > near).cast("double")), 4).alias("close_area_frac")
+    small, large = _split(cells, key, hot)
+    out = normalized(small, key, value).groupBy(key).agg(mean, F.round(F.percentile(v, 0.95), 4).alias("p95_depth"), deviation, close)
+    if large is None:
+        return out
+    z = normalized(large, key, value)
+    top = quantiles(z, value, (0.95,), (key,)).select(key, F.round(F.col("edges")[0], 4).alias("p95_depth"))
+    return out.unionByName(z.groupBy(key).agg(mean, deviation, close).join(top, key, "left"))
+
 
+def saliency_summary(cells: DataFrame, key: str, height: Column, width: Column, value: str = "value", hot: int | None = None) -> DataFrame:
+    """Peak place (first in reading order), mass of the top tenth of cells (at least one; 0 for an empty map) and the mean.
 
-def saliency_summary(cells: DataFrame, key: str, height: Column, width: Column, value: str = "value") -> DataFrame:
-    """Peak place (first in reading order), mass of the top tenth of cells (at least one; 0 for an empty map) and the mean."""
+    Maps of up to `hot` cells (order.HOT) are ranked in one task. Of larger ones the value of the last cell of the top tenth is found by
+    sketches and counts; the tenth has all cells above it, and of those equal to it as many as are left.
+    """
+    total, v = F.sum(value), F.col(value)
+    first = F.min(F.when(v.isNotNull(), F.struct((-v).alias("minus"), F.col("y"), F.col("x"))))
+    peak = [F.round(first["x"] / width, 4).alias("peak_x"), F.round(first["y"] / height, 4).alias("peak_y")]
+    mean = F.round(F.avg(value), 4).alias("mean_saliency")
+    share = lambda top: F.round(F.when(total > 0, top / F.when(total > 0, total)).otherwise(0.0), 4).alias("top10pct_mass")
+    tenth = lambda n: F.greatest(F.lit(1), F.floor(n * 0.1))
+    small, large = _split(cells, key, hot)
     by_value = Window.partitionBy(key).orderBy(F.desc(value), "y", "x")
-    ranked = cells.withColumn("__rank", F.row_number().over(by_value)).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(key)))
-    most = F.greatest(F.lit(1), F.floor(F.col("__n") * 0.1))
-    total = F.sum(value)
-    top = F.sum(F.when(F.col("__rank") <= most, F.col(value)))
-    peak = lambda c, size: F.round(F.max(F.when(F.col("__rank") == 1, F.col(c) / size)), 4)
-    return ranked.groupBy(key).agg(
-        peak("x", width).alias("peak_x"), peak("y", height).alias("peak_y"),
-        F.round(F.when(total > 0, top / F.when(total > 0, total)).otherwise(0.0), 4).alias("top10pct_mass"), F.round(F.avg(value), 4).alias("mean_saliency"),
-    )
+    ranked = small.withColumn("__rank", F.row_number().over(by_value)).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    out = ranked.groupBy(key).agg(*peak, share(F.sum(F.when(F.col("__rank") <= tenth(F.col("__n")), v))), mean)
+    if large is None:
+        return out
+    last = at_ranks(large, [key], value, lambda n: [n - tenth(n)]).select(key, "n", F.col("values")[0].alias("__last"))
+    above = F.sum(F.when(v > F.col("__last"), v).otherwise(0.0))
+    left = F.max(tenth(F.col("n"))) - F.count_if(v > F.col("__last"))
+    return out.unionByName(large.join(last, key).groupBy(key).agg(*peak, share(above + left * F.max("__last")), mean))
 
 
 def centroid(rows: DataFrame, key: str, x: str, y: str, weight: str) -> DataFrame:

@@ -11,7 +11,7 @@ from .functions import boxes as B
 from .functions import color as C
 from .functions import labels as L
 from .functions import vectors as V
-from .operators import assemble, evaluate, heatmap, palette, pose, registers, sampling, time_joins, zero_shot
+from .operators import assemble, evaluate, heatmap, palette, pose, registers, sampling, suppression, time_joins, zero_shot
 from .session import ship
 from .sources import responses, tables
 from .streaming import incremental
@@ -692,3 +692,78 @@ def interval_join(spark, sf_dir):
     e = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
     pairs = time_joins.within(e.where("event_type = 'purchase'"), e.where("event_type = 'error'"), "user_id", "ts", 6 * 3600)
     return pairs.select("l_event_id", "r_event_id")
+
+
+# ---- answers whose shape can't be trusted ----
+
+
+@query(
+    """WITH l AS (SELECT *, l_partkey % 8 AS kind FROM lineitem), g AS (SELECT *, CASE kind WHEN 5 THEN CAST(l_linenumber AS VARCHAR) ELSE l_linestatus END AS label, CASE kind WHEN 5 THEN 0 ELSE l_discount END AS score
+FROM l WHERE kind IN (0, 1, 5) AND l_orderkey % 11 > 0)
+SELECT o.l_orderkey, count(label) AS n, coalesce(string_agg(label, '' ORDER BY label), '') AS labels, round(coalesce(sum(score), 0), 4) AS score, round(coalesce(sum(l_tax), 0), 4) AS width
+FROM (SELECT DISTINCT l_orderkey FROM lineitem) o LEFT JOIN g ON o.l_orderkey = g.l_orderkey GROUP BY o.l_orderkey"""
+)
+def broken_detections(spark, sf_dir):
+    """Lists of detections with entries that are no objects, numbers in texts, boxes and scores that are none, and texts that end early."""
+    label, score = F.concat(F.lit('{"label": "'), "l_linestatus", F.lit('", ')), F.col("l_discount").cast("string")
+    numbers = lambda mark: F.concat(F.lit('"box": ['), F.concat_ws(",", *(F.concat(F.lit(mark), F.col(c).cast("string"), F.lit(mark)) for c in ("l_discount", "l_quantity", "l_tax", "l_quantity"))), F.lit("]"))
+    kind = F.col("l_partkey") % 8
+    entry = (
+        F.when(kind == 0, F.concat(label, F.lit('"score": '), score, F.lit(", "), numbers(""), F.lit("}")))
+        .when(kind == 1, F.concat(label, F.lit('"score": "'), score, F.lit('", '), numbers('"'), F.lit("}")))
+        .when(kind == 2, "5").when(kind == 3, '"x"').when(kind == 4, F.concat(label, F.lit('"score": 1, "box": [1, 2, 3]}')))
+        .when(kind == 5, F.concat(F.lit('{"label": '), F.col("l_linenumber").cast("string"), F.lit(", "), numbers(""), F.lit("}")))
+        .when(kind == 6, F.concat(label, F.lit('"score": "high", '), numbers(""), F.lit("}"))).otherwise("null")
+    )
+    whole = F.concat(F.lit("["), F.array_join(F.collect_list(entry), ", "), F.when(F.col("l_orderkey") % 11 > 0, "]").otherwise(""))
+    boxes = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(whole.alias("t")).select("l_orderkey", B.parse_json(F.col("t")).alias("d"))
+    total = lambda of: F.round(F.aggregate("d", F.lit(0.0), lambda s, d: s + of(d)), 4)
+    labels = F.array_join(F.array_sort(F.transform("d", lambda d: d["label"])), "")
+    return boxes.select("l_orderkey", F.size("d").cast("bigint").alias("n"), labels.alias("labels"), total(lambda d: d["score"]).alias("score"), total(lambda d: d["box"][2]).alias("width"))
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 6 = 5 THEN '' WHEN event_id % 3 = 0 THEN event_type WHEN event_id % 3 = 1 THEN concat(event_type, '|7') ELSE '' END AS mood,
+CASE WHEN event_id % 6 = 5 THEN 0 ELSE round(least(value / 50, 1), 4) END AS weapon, CASE WHEN event_id % 6 = 5 THEN 0 WHEN event_id % 2 = 0 THEN CAST(event_id % 9 AS INTEGER) ELSE 0 END AS face_count,
+CASE event_id % 6 WHEN 5 THEN '' WHEN 0 THEN concat(event_type, ':0.50|plain|3|second:high') WHEN 1 THEN event_type ELSE concat(event_type, ':', printf('%.2f', floor(value) / 100), '|other:0.25') END AS labels,
+CASE event_id % 6 WHEN 5 THEN '' WHEN 0 THEN event_type WHEN 1 THEN '' ELSE CASE WHEN floor(value) >= 25 THEN event_type ELSE 'other' END END AS top_label,
+CASE event_id % 6 WHEN 5 THEN 0 WHEN 0 THEN 0.5 WHEN 1 THEN 0 ELSE greatest(floor(value) / 100, 0.25) END AS top_label_conf,
+CASE WHEN event_id % 6 <> 5 AND event_id % 4 = 0 THEN 'poster' ELSE 'uncertain' END AS qa_verdict, CASE WHEN event_id % 6 = 5 THEN 'not a JSON object' END AS error FROM events"""
+)
+def scene_responses(spark, sf_dir):
+    """Recorded scene descriptions, one for each event: fenced or bare, with single values for lists, numbers in texts and mixed entries."""
+    e, k = _t(spark, sf_dir, "events"), F.col("event_id")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    kind = quoted(F.col("event_type"))
+    mood = F.when(k % 3 == 0, kind).when(k % 3 == 1, F.concat(F.lit("["), kind, F.lit(', "  ", 7]'))).otherwise("null")
+    labels = (
+        F.when(k % 6 == 0, F.concat(F.lit('[{"name": '), kind, F.lit(', "conf": "0.5"}, "plain", 3, {"conf": 1}, {"name": "second", "confidence": "high"}]')))
+        .when(k % 6 == 1, kind)
+        .otherwise(F.concat(F.lit('[{"name": '), kind, F.lit(', "confidence": '), (F.floor("value") / 100).cast("string"), F.lit('}, {"name": " other", "conf": 0.25}]')))
+    )
+    faces = F.when(k % 2 == 0, quoted((k % 9 + F.lit(0.5)).cast("string"))).otherwise('["many"]')
+    parts = [F.lit('{"mood": '), mood, F.lit(', "labels": '), labels, F.lit(', "weapon": '), quoted((F.col("value") / 50).cast("string")), F.lit(', "face_count": '), faces, F.lit(', "poster_qa_verdict": '), F.when(k % 4 == 0, '" Poster"').otherwise("4"), F.lit("}")]
+    whole = F.concat(*parts)
+    text = F.when(k % 6 == 5, "I can't say.").when(k % 6 == 4, F.concat(F.lit("```json\n"), whole, F.lit("\n```"))).otherwise(whole)
+    found = responses.scene_service(e.select("event_id", text.alias("t")), "t", "event_id")
+    return found.select("event_id", "mood", "weapon", "face_count", "labels", "top_label", "top_label_conf", "qa_verdict", "error")
+
+
+_PART_BOXES_SQL = """b AS (SELECT l_partkey AS k, l_extendedprice / 100000 AS score, l_quantity / 100 AS x, l_discount * 4 AS y, 0.1::DOUBLE + l_tax AS w, 0.05::DOUBLE + l_discount AS h FROM lineitem WHERE l_extendedprice / 100000 >= 0.6)"""
+
+
+@query(
+    f"""WITH RECURSIVE {_PART_BOXES_SQL}, s AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, x, y, w, h) AS r FROM b),
+g AS (SELECT k, r, [{{'r': r, 'x': x, 'y': y, 'w': w, 'h': h, 'score': score}}] AS kept FROM s WHERE r = 1
+UNION ALL SELECT s.k, s.r, CASE WHEN len(list_filter(kept, lambda o: greatest(least(o.x + o.w, s.x + s.w) - greatest(o.x, s.x), 0) * greatest(least(o.y + o.h, s.y + s.h) - greatest(o.y, s.y), 0)
+    > 0.3 * (o.w * o.h + s.w * s.h - greatest(least(o.x + o.w, s.x + s.w) - greatest(o.x, s.x), 0) * greatest(least(o.y + o.h, s.y + s.h) - greatest(o.y, s.y), 0)))) = 0
+    THEN list_append(kept, {{'r': s.r, 'x': s.x, 'y': s.y, 'w': s.w, 'h': s.h, 'score': s.score}}) ELSE kept END FROM g JOIN s ON s.k = g.k AND s.r = g.r + 1),
+f AS (SELECT k, unnest(arg_max(kept, r)) AS o FROM g GROUP BY k)
+SELECT k AS l_partkey, CAST(o.r AS INTEGER) AS place, o.score AS score, o.x AS x, o.w * o.h AS area FROM f"""
+)
+def box_suppression(spark, sf_dir):
+    """The boxes of each part's lines that stay when overlapping ones are suppressed."""
+    box = F.array(F.col("l_quantity") / 100, F.col("l_discount") * 4, F.lit(0.1) + F.col("l_tax"), F.lit(0.05) + F.col("l_discount"))
+    lines = _t(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_extendedprice") / 100000).alias("score"), box.alias("box"))
+    kept = suppression.suppressed(lines, ["l_partkey"])
+    return kept.select("l_partkey", "place", "score", F.col("box")[0].alias("x"), (F.col("box")[2] * F.col("box")[3]).alias("area"))

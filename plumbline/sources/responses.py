@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
+from ..functions import variants as V
 
 _BOX = "struct<Left:double,Top:double,Width:double,Height:double>"
 LABELS = (
@@ -17,12 +18,6 @@ FACES = (
     f"struct<FaceDetails:array<struct<BoundingBox:{_BOX},Emotions:array<struct<Type:string,Confidence:double>>,"
     "Gender:struct<Value:string>,AgeRange:struct<Low:int,High:int>>>>"
 )
-_ENTRY = "array<struct<name:string,conf:string,confidence:string>>"
-SCENE = (
-    "struct<credits_text:string,other_text:string,mood:array<string>,"
-    f"fear_labels:{_ENTRY},labels:{_ENTRY},weapon:string,monster:string,person:string,animal:string,face_count:string,"
-    "poster_qa_verdict:string,poster_qa_reason:string,description:string>"
-)
 # Fixed value: the verdicts that a scene review may give.
 VERDICTS = ["poster", "not_poster", "uncertain"]
 
@@ -68,20 +63,52 @@ def label_service(rows: DataFrame, labels: str, faces: str, vocabularies: dict[s
     )
 
 
+def _listed(value: Column) -> Column:
+    """'a|b' of a list's entries that aren't blank, or one value as text."""
+    many = F.array_join(F.filter(F.transform(V.items(value), lambda x: F.trim(V.text(x))), lambda x: x != ""), "|")
+    return F.when(V.empty(value), "").when(V.is_list(value), many).otherwise(F.trim(V.text(value)))
+
+
+def _entry(value: Column) -> Column:
+    """struct(name, conf) of an object, conf as it came, from `conf` or else `confidence`."""
+    conf = F.coalesce(V.field(value, "conf"), V.field(value, "confidence"))
+    return F.struct(F.trim(F.when(V.empty(V.field(value, "name")), "").otherwise(V.text(V.field(value, "name")))).alias("name"), conf.alias("conf"))
+
+
+def _confidences(value: Column) -> Column:
+    """'name:0.90|...' of a list of objects; entries of other kinds as text, objects without a name left out; a text as it is."""
+    sure = lambda c: F.when(V.number(c).isNull(), F.coalesce(V.text(c), F.lit(""))).otherwise(F.format_string("%.2f", V.number(c)))
+    told = lambda e: F.when(e["name"] != "", F.concat(e["name"], F.lit(":"), sure(e["conf"])))
+    many = F.array_join(F.transform(V.items(value), lambda x: F.when(V.is_object(x), told(_entry(x))).otherwise(V.text(x))), "|")
+    return F.when(V.empty(value), "").when(V.is_list(value), many).when(V.is_string(value), V.text(value)).otherwise("")
+
+
+def _most_confident(value: Column) -> Column:
+    """struct(name, conf) of a list's most confident named object, the first of equal ones; conf is 0 where it is no number."""
+    entries = F.transform(F.filter(V.items(value), V.is_object), _entry)
+    return L.top_entry(F.coalesce(F.transform(entries, lambda e: F.struct(e["name"].alias("name"), V.number(e["conf"]).cast("string").alias("conf"))), F.array().cast("array<struct<name:string,conf:string>>")))
+
+
 def scene_service(rows: DataFrame, text: str, key: str = "id") -> DataFrame:
-    """A scene description's text (JSON, maybe fenced) to one flat row for each key; a text that is no JSON gives an error."""
-    r = rows.select(key, F.from_json(L.unfenced(F.col(text)), SCENE).alias("s"))
-    broken = F.col("s").isNull() | F.forall(F.array(*[F.col(f"s.{c}").isNull() for c in ("credits_text", "mood", "labels", "weapon", "person", "description", "face_count")]), lambda x: x)
-    entries = lambda c: F.transform(F.col(f"s.{c}"), lambda e: F.struct(e["name"].alias("name"), F.coalesce(e["conf"], e["confidence"]).alias("conf")))
-    top = L.top_entry(F.coalesce(entries("labels"), F.array().cast("array<struct<name:string,conf:string>>")))
+    """A scene description's text (JSON, maybe fenced) to one flat row for each key; a text that is no JSON object gives an error.
+
+    Fields are read one by one, so a field or an entry of another kind than expected costs only itself: scores and counts
+    may be texts, `mood` may be one value, lists may hold texts beside objects. Missing and unusable parts give '' or 0.
+    """
+    r = rows.select(key, V.parsed(L.unfenced(F.col(text))).alias("s"))
+    broken = ~V.is_object(F.col("s"))
+    of = lambda name: V.field(F.col("s"), name)
+    plain = lambda name: F.when(V.empty(of(name)), "").otherwise(V.text(of(name)))
+    number = lambda name: V.number(of(name))
+    top = _most_confident(of("labels"))
     return r.select(
         key,
-        L.cleaned(F.col("s.credits_text"), 500).alias("credits_text"), L.cleaned(F.col("s.other_text"), 500).alias("other_text"),
-        L.join_list(F.col("s.mood")).alias("mood"), L.encode_confidences(entries("fear_labels")).alias("fear_labels"),
-        *[L.score01(F.col(f"s.{c}")).alias(c) for c in ("weapon", "monster", "person", "animal")],
-        L.whole_count(F.col("s.face_count")).alias("face_count"),
-        L.enumerated(F.col("s.poster_qa_verdict"), VERDICTS).alias("qa_verdict"), L.cleaned(F.col("s.poster_qa_reason"), 300).alias("qa_reason"),
-        L.encode_confidences(entries("labels")).alias("labels"), top["name"].alias("top_label"), top["conf"].alias("top_label_conf"),
-        L.cleaned(F.col("s.description"), 400).alias("description"),
+        L.cleaned(plain("credits_text"), 500).alias("credits_text"), L.cleaned(plain("other_text"), 500).alias("other_text"),
+        _listed(of("mood")).alias("mood"), _confidences(of("fear_labels")).alias("fear_labels"),
+        *[L.score01(number(c)).alias(c) for c in ("weapon", "monster", "person", "animal")],
+        L.whole_count(number("face_count")).alias("face_count"),
+        L.enumerated(plain("poster_qa_verdict"), VERDICTS).alias("qa_verdict"), L.cleaned(plain("poster_qa_reason"), 300).alias("qa_reason"),
+        _confidences(of("labels")).alias("labels"), top["name"].alias("top_label"), top["conf"].alias("top_label_conf"),
+        L.cleaned(plain("description"), 400).alias("description"),
         F.when(broken, "not a JSON object").alias("error"),
     )

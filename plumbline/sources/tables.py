@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,18 +11,11 @@ from pyspark.sql.types import ArrayType, BooleanType, DataType, StringType, Stru
 
 from .. import schemas
 from ..functions.order import running
+from ..session import new_path  # noqa: F401  (used as tables.new_path)
 
 CSV = {"header": "true", "escape": '"', "multiLine": "true"}
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path that nothing has used, below spark.checkpoint.dir; where that is unset, a folder of one machine, in local mode only."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-    return f"{(shared or 'file://' + tempfile.mkdtemp(prefix='plumbline-')).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, schema: StructType | None = None) -> DataFrame:
     """A CSV file with quotes doubled, as texts (or with the schema); unused columns aren't parsed."""
     rows = (spark.read.schema(schema) if schema else spark.read).options(**CSV).csv(path)
@@ -147,7 +138,7 @@ def pending_reviews(rows: DataFrame, reviews: DataFrame, keys: list[str]) -> Dat
 
 
 def with_position(rows: DataFrame, order: list[str], name: str = "position") -> DataFrame:
-    """Global positions from 0 in the given order, counted by buckets and then within them; no task sorts everything."""
+    """Global positions from 0 in the given order, counted by ranges and then within them; no task sorts everything."""
     return running(rows, order, F.lit(1), name)
 
 
