@@ -16,9 +16,10 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def confusion(verdict: Column, truth: Column) -> list[Column]:
-    """n, tp, fp, fn, tn, accuracy (0 without rows), precision and recall (null without a denominator)."""
-    tp, fp, fn, tn = (F.count_if(v & t) for v, t in ((verdict, truth), (verdict, ~truth), (~verdict, truth), (~verdict, ~truth)))
+def confusion(verdict: Column, truth: Column, times: Column | None = None) -> list[Column]:
+    """n, tp, fp, fn, tn, accuracy (0 without rows), precision and recall (null without a denominator); a row counts `times` times."""
+    count = F.count_if if times is None else lambda holds: F.coalesce(F.sum(F.when(holds, times)), F.lit(0))
+    tp, fp, fn, tn = (count(v & t) for v, t in ((verdict, truth), (verdict, ~truth), (~verdict, truth), (~verdict, ~truth)))
     n = tp + fp + fn + tn
     return [
         n.alias("n"), tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), tn.alias("tn"),

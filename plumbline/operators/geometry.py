@@ -25,8 +25,6 @@ VOTES, GAP, SHORTEST = 25, 6, 0.12
 DIAGONAL = (25, 65)
 # Sizes of text regions, how far thresholds move and how little a stable region may change.
 REGION, STEP, CHANGE = (15, 2000), 5, 0.25
-#: Grey levels at which regions are looked for.
-LEVELS = range(12, 250, 12)
 # Angles between hues that count as harmonious.
 SCHEMES = (30, 90, 120, 180)
 
@@ -127,30 +125,94 @@ def edges(grey: np.ndarray) -> np.ndarray:
     return strong[label] & (label >= 0)
 
 
+class Regions:
+    """The component tree of a picture: all components of pixels up to each of the 256 levels, pixels touching at corners too.
+
+    Pairs of neighbours are joined by union-find in the order of the level at which both are there; a component that gets pixels at
+    a level is a node, the components that it swallows are its children. So one pass gives what thresholds at all levels give.
+    """
+
+    def __init__(self, tone: np.ndarray):
+        height, width = tone.shape
+        flat, place = tone.ravel().astype(int), np.arange(tone.size).reshape(tone.shape)
+        ways = ((np.s_[:, :-1], np.s_[:, 1:]), (np.s_[:-1], np.s_[1:]), (np.s_[:-1, :-1], np.s_[1:, 1:]), (np.s_[:-1, 1:], np.s_[1:, :-1]))
+        one, two = (np.concatenate([place[w[k]].ravel() for w in ways]) for k in (0, 1))
+        meet = np.maximum(flat[one], flat[two])
+        order = np.argsort(meet, kind="stable")
+        one, two, edge = one[order].tolist(), two[order].tolist(), np.searchsorted(meet[order], np.arange(257)).tolist()
+        pixels = np.argsort(flat, kind="stable")
+        first = np.searchsorted(flat[pixels], np.arange(257)).tolist()
+        ys, xs, pixels = (pixels // width).tolist(), (pixels % width).tolist(), pixels.tolist()
+        self.size, self.level, self.area, self.box, self.parent, self.recent = tone.size, [], [], [], [], []
+        up, inside = list(range(tone.size)), [[] for _ in range(tone.size)]
+
+        def root(p: int) -> int:
+            while up[p] != p:
+                up[p] = up[up[p]]
+                p = up[p]
+            return p
+
+        for level in range(256):
+            for k in range(edge[level], edge[level + 1]):
+                a, b = root(one[k]), root(two[k])
+                if a != b:
+                    if len(inside[a]) < len(inside[b]):
+                        a, b = b, a
+                    up[b] = a
+                    inside[a] += inside[b]
+                    inside[b] = []
+            new: dict[int, int] = {}
+            for k in range(first[level], first[level + 1]):
+                r = root(pixels[k])
+                node = new.get(r)
+                if node is None:
+                    node = new[r] = len(self.level)
+                    self.level.append(level)
+                    self.area.append(0)
+                    self.box.append([width, height, 0, 0])
+                    self.parent.append(-1)
+                    self.recent.append({level: 0})
+                self.area[node] += 1
+                self.recent[node][level] += 1
+                b, x, y = self.box[node], xs[k], ys[k]
+                b[0], b[1], b[2], b[3] = min(b[0], x), min(b[1], y), max(b[2], x + 1), max(b[3], y + 1)
+            for r, node in new.items():
+                b = self.box[node]
+                for child in inside[r]:
+                    self.parent[child] = node
+                    self.area[node] += self.area[child]
+                    c = self.box[child]
+                    b[0], b[1], b[2], b[3] = min(b[0], c[0]), min(b[1], c[1]), max(b[2], c[2]), max(b[3], c[3])
+                    for v, n in self.recent[child].items():  # pixels of the last STEP levels
+                        if v > level - STEP:
+                            self.recent[node][v] = self.recent[node].get(v, 0) + n
+                inside[r] = [node]
+
+    def stable(self, node: int) -> bool:
+        """Whether at one of its levels the region gains and loses few pixels when the level moves by STEP."""
+        last = 256 if self.parent[node] < 0 else self.level[self.parent[node]]
+        above = node
+        for level in range(self.level[node], last):
+            while self.parent[above] >= 0 and self.level[self.parent[above]] <= level + STEP:
+                above = self.parent[above]
+            core = self.area[node] - sum(n for v, n in self.recent[node].items() if v > level - STEP)
+            if self.area[above] - core < CHANGE * self.area[node]:
+                return True
+        return False
+
+
 def text_boxes(grey: np.ndarray) -> np.ndarray:
     """Boxes (x0, y0, x1, y1) of regions that look like letters: darker or lighter than what is around them, of about one size
     while the threshold moves, small, and neither very tall nor very wide. A heuristic, not reading."""
     height, width = grey.shape
     found: set[tuple[int, ...]] = set()
     for tone in (grey.astype(int), 255 - grey.astype(int)):
-        for level in LEVELS:
-            mask = tone <= level
-            if not mask.any() or mask.all():
-                continue
-            label, n = components(mask)
-            box, area = boxes_of(label, n)
-            fit = (area >= REGION[0]) & (area <= REGION[1])
-            if not fit.any():
-                continue
-            wide, n_wide = components(tone <= level + STEP)
-            parent = np.zeros(n, int)
-            parent[label[mask]] = wide[mask]
-            grown = np.bincount(wide[wide >= 0], minlength=n_wide)[parent]
-            core = np.bincount(label[mask & (tone <= level - STEP)], minlength=n)
-            w, h = box[:, 2] - box[:, 0], box[:, 3] - box[:, 1]
-            fit &= (grown - core < CHANGE * area) & (w / np.maximum(h, 1) > 0.1) & (w / np.maximum(h, 1) < 12)
-            fit &= (h >= 4) & (h <= height * 0.12) & (w < width * 0.9)
-            found |= set(map(tuple, box[fit].tolist()))
+        regions = Regions(tone)
+        for node, (area, box) in enumerate(zip(regions.area, regions.box, strict=True)):
+            w, h = box[2] - box[0], box[3] - box[1]
+            fit = REGION[0] <= area <= REGION[1] and area < regions.size and 4 <= h <= height * 0.12 and w < width * 0.9 and 0.1 < w / h < 12
+            if fit and tuple(box) not in found and regions.stable(node):
+                found.add(tuple(box))
     return np.array(sorted(found), int).reshape(-1, 4)
 
 

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from .functions import boxes as B
 from .functions import color as C
 from .functions import labels as L
+from .functions import udtf
 from .functions import vectors as V
 from .operators import assemble, evaluate, heatmap, palette, pose, registers, sampling, suppression, time_joins, zero_shot
 from .session import ship
-from .sources import responses, tables
-from .streaming import incremental
+from .sources import bitmaps, npz, responses, tables
+from .streaming import incremental, reviews
 
 _FOUND: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -767,3 +768,93 @@ def box_suppression(spark, sf_dir):
     lines = _t(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_extendedprice") / 100000).alias("score"), box.alias("box"))
     kept = suppression.suppressed(lines, ["l_partkey"])
     return kept.select("l_partkey", "place", "score", F.col("box")[0].alias("x"), (F.col("box")[2] * F.col("box")[3]).alias("area"))
+
+
+# ---- connectors, lookups, draws, streams ----
+
+
+@query("SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS width, round(CAST(embedding[1] AS DOUBLE), 5) AS first, round(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE))), 3) AS total FROM embeddings")
+def npz_round_trip(spark, sf_dir):
+    """Embeddings written as NPZ caches and read again, a partition a file."""
+    spark.dataSource.register(npz.NpzDataSource)
+    path = tables.new_path(spark, "cache")
+    rows = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<float>").alias("vec"))
+    rows.write.format("npz").mode("append").save(path)
+    total = F.aggregate("vec", F.lit(0.0), lambda s, v: s + v.cast("double"))
+    return spark.read.format("npz").load(path).select("id", F.size("vec").alias("width"), F.round(F.get("vec", 0).cast("double"), 5).alias("first"), F.round(total, 3).alias("total"))
+
+
+@query("WITH " + _SIDES_SQL + " SELECT o AS l_orderkey, CAST(row_number() OVER (PARTITION BY o ORDER BY n) - 1 AS INTEGER) AS place, label, score, x, y, w, h FROM d WHERE odd = 1")
+def detections_lateral(spark, sf_dir):
+    """The detections of each order by the SQL table function."""
+    udtf.register(spark)
+    boxes = _detections(spark, sf_dir).select("l_orderkey", F.to_json("a").alias("boxes"))
+    return spark.sql("SELECT t.l_orderkey, d.* FROM {boxes} t, LATERAL detections(t.boxes) d", boxes=boxes)
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 40)")
+def wanted_lines(spark, sf_dir):
+    """Lines of large parts, found by bitmaps of the parts' keys while lines are read."""
+    large = _t(spark, sf_dir, "part").where("p_size > 40").select("p_partkey")
+    return bitmaps.wanted(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), large, "l_partkey", "p_partkey")
+
+
+@query(
+    """WITH w AS (SELECT l_returnflag AS k, l_quantity AS a, l_discount AS b, sum(CAST(floor((0.25::DOUBLE + l_tax) * 1000000) AS BIGINT)) AS w, count(*) AS c FROM lineitem GROUP BY ALL),
+e AS (SELECT *, sum(w) OVER (PARTITION BY k ORDER BY a, b) AS upto, sum(w) OVER (PARTITION BY k) AS total, least(sum(c) OVER (PARTITION BY k), 4000) AS n FROM w),
+r AS (SELECT k, floor(CAST('0x' || substr(md5('42|' || k || '|' || j), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE * total) AS r FROM (SELECT DISTINCT k, total, n FROM e), range(4000) t(j) WHERE j < n)
+SELECT e.k AS l_returnflag, a AS l_quantity, b AS l_discount, count(*) AS times FROM e JOIN r ON e.k = r.k AND r.r >= upto - w AND r.r < upto GROUP BY ALL"""
+)
+def palette_draws(spark, sf_dir):
+    """Weighted draws with replacement from the lines of each return flag, as palettes take them."""
+    rows = _t(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity", "l_discount", (F.lit(0.25) + F.col("l_tax")).alias("w"))
+    return palette.draws(rows, "l_returnflag", ["l_quantity", "l_discount"], "w")
+
+
+def _as_folder(spark, sf_dir: str, name: str) -> DataFrame:
+    """A table as files that arrive: written to a folder, and read as a stream."""
+    rows = _t(spark, sf_dir, name)
+    path = tables.new_path(spark, f"arriving-{name}")
+    rows.write.parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+@query(
+    """SELECT time_bucket(INTERVAL '1 day', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events
+GROUP BY 1, 2 HAVING time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' <= (SELECT max(ts) - INTERVAL '10 minutes' FROM events)"""
+)
+def streamed_windows(spark, sf_dir):
+    """Daily windows of a stream: those that the watermark has closed when all files have been read."""
+    out, held = tables.new_path(spark, "windows"), tables.new_path(spark, "windows-state")
+    # watermarks need instants: the times are taken as UTC, and given back without a zone
+    events = _as_folder(spark, sf_dir, "events").withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
+    days = incremental.windowed(events, "ts", ["event_type"], "value", "1 day", late="10 minutes")
+    q = days.writeStream.format("parquet").option("path", out).option("checkpointLocation", held).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    start = F.to_utc_timestamp("start", F.current_timezone()).cast("timestamp_ntz").alias("start")
+    return spark.read.schema(days.schema).parquet(out).select(start, "event_type", "n", "total")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 7 > 0 THEN concat(p_brand, ' ', p_type) END AS verdict, CASE WHEN p_size % 7 > 0 THEN 'ok' ELSE 'error' END AS status, 1::INTEGER AS tries FROM part")
+def reviewed_stream(spark, sf_dir):
+    """Each part reviewed once on a stream; reviews that fail are rows with an error, and stay to be tried again."""
+    out, held, store = tables.new_path(spark, "reviews"), tables.new_path(spark, "reviews-state"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    spark.conf.set(store, reviews.STORE)
+    try:
+        found = reviews.reviewed(_as_folder(spark, sf_dir, "part"), _Brands(), "p_partkey", wait_ms=3_600_000)
+        found.writeStream.format("parquet").option("path", out).option("checkpointLocation", held).trigger(once=True).start().awaitTermination()
+    finally:
+        spark.conf.set(store, before)
+    return spark.read.parquet(out).select("p_partkey", "verdict", "status", "tries")
+
+
+class _Brands:
+    """A provider that reads a part's brand and type, and fails on every seventh size."""
+
+    name, revision, output = "brands", "1", "verdict string"
+
+    def infer(self, batch):
+        if (batch["p_size"] % 7 == 0).any():
+            raise ValueError("no answer for this size")
+        return (batch["p_brand"] + " " + batch["p_type"]).to_frame("verdict")

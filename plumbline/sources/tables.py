@@ -12,6 +12,8 @@ from pyspark.sql.types import ArrayType, BooleanType, DataType, StringType, Stru
 from .. import schemas
 from ..functions.order import running
 from ..session import new_path  # noqa: F401  (used as tables.new_path)
+from . import bitmaps
+from .appends import append_once, first_written  # noqa: F401  (used as tables.append_once and tables.first_written)
 
 CSV = {"header": "true", "escape": '"', "multiLine": "true"}
 
@@ -71,9 +73,9 @@ def write_csv(rows: DataFrame, path: str, table: str | None = None, files: int |
 
 
 def last_by_id(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """Of several rows of an id the last one counts; the others' values are aggregated away before the shuffle."""
+    """Of several rows of an id the last one by `order` counts, of equal ones that with the largest other columns; the rest go before the shuffle."""
     rest = [c for c in rows.columns if c != key]
-    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("__r")).select(key, "__r.*")
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(order, *[c for c in rest if c != order])).alias("__r")).select(key, "__r.*")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -102,9 +104,18 @@ def base_path(spark: SparkSession, folder: str, names: tuple[str, ...] = ("valid
 
 
 def wanted_titles(spark: SparkSession, path: str, wanted: DataFrame, key: str = "tconst") -> DataFrame:
-    """Rows of a gzipped TSV whose key is wanted: columns by header, '\\N' is null, filtered while it is read."""
+    """Rows of a gzipped TSV whose key is wanted: columns by header, '\\N' is null.
+
+    Keys are texts with a number ('tt0012345'). Bitmaps of the numbers drop nearly all rows in the tasks that read them; what is
+    left is joined by the whole keys.
+    """
     rows = spark.read.options(header="true", sep="\t", nullValue="\\N", quote="").csv(path)
-    return rows.join(wanted.select(key).distinct(), key, "left_semi")
+    number = lambda c: F.regexp_extract(c, r"^\D*(\d{1,18})$", 1).try_cast("bigint")
+    keys = wanted.select(key).distinct()
+    numbered = rows.withColumn("__n", number(F.col(key)))
+    near = bitmaps.wanted(numbered, keys.select(number(F.col(key)).alias("__n")), "__n").drop("__n")
+    odd = numbered.where("__n is null").drop("__n").join(keys.where(number(F.col(key)).isNull()), key, "left_semi")
+    return near.join(keys, key, "left_semi").union(odd)
 
 
 def genre_list(genres: Column) -> Column:
@@ -151,24 +162,6 @@ def shard(rows: DataFrame, index: int, count: int, position: str = "position") -
     return rows.where(F.col(position) % count == index)
 
 
-def append_once(rows: DataFrame, path: str, key: str = "id") -> None:
-    """Appends rows whose ids the table hasn't, one for each id. Parts appear whole or not at all; a reader uses first_written().
-
-    Two writers at once may both append an id; first_written() lets the first one count.
-    """
-    spark = rows.sparkSession
-    rows = rows.dropDuplicates([key])
-    if exists(spark, path):
-        rows = rows.join(spark.read.parquet(path).select(key), key, "left_anti")
-    rows.withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(path)
-
-
-def first_written(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
-    rows = spark.read.parquet(path)
-    rest = [c for c in rows.columns if c not in (key, "written_at")]
-    return rows.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct("written_at", *rest)).alias("__r")).select(key, "__r.*")
-
-
 def with_errors(result: Column, error: Column, most: int = 200) -> Column:
     """Errors as data: struct(result, error), the error's text cut."""
     return F.struct(result.alias("result"), F.substring(error, 1, most).alias("error"))
