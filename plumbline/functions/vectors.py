@@ -37,7 +37,11 @@ def prototypes(examples: DataFrame, label: str, vec: str) -> DataFrame:
     return whole.select("label", normalized(F.col("mean")).alias("proto"))
 
 
-def bank(protos: DataFrame, most: int = 4096) -> DataFrame:
+#: Labels of a prompt bank at most: it is a configuration table.
+MOST = 4096
+
+
+def bank(protos: DataFrame, most: int = MOST) -> DataFrame:
     """All prototypes as one row with one array `bank` of (label, ordinal, proto), for a broadcast.
 
     A prompt bank is a configuration table; one of more than `most` labels is refused rather than broadcast.

@@ -134,3 +134,20 @@ def gap(rows: DataFrame, year: Column, metric: str, cut: int, until: int, thresh
     """One row: mean before the cut, mean from it until `until`, their difference and whether it exceeds the threshold."""
     early, late = F.avg(F.when(year < cut, F.col(metric))), F.avg(F.when(year.between(cut, until), F.col(metric)))
     return rows.agg(F.round(early, 4).alias("early"), F.round(late, 4).alias("late"), F.round(early - late, 4).alias("gap"), F.coalesce(F.abs(early - late) > threshold, F.lit(False)).alias("exceeds"))
+
+
+def overlap(verdicts: DataFrame, base: DataFrame, key: str) -> DataFrame:
+    """(engine, n, scored): how many of the base's ids each engine has an entry for; one without any isn't scored, and says so here.
+
+    Ids count once. The base's ids meet the engines' distinct ids in one join.
+    """
+    ids = base.select(key).distinct().withColumn("__base", F.lit(True))
+    rows = verdicts.select("engine", key).distinct().join(ids, key, "left")
+    n = F.count_if(F.col("__base"))
+    return rows.groupBy("engine").agg(n.alias("n"), (n > 0).alias("scored"))
+
+
+def overlapping(verdicts: DataFrame, base: DataFrame, key: str) -> DataFrame:
+    """The entries of the engines that share an id with the base; the others are left out as a whole."""
+    scored = overlap(verdicts, base, key).where("scored").select("engine")
+    return verdicts.join(F.broadcast(scored), "engine", "left_semi")  # a row for each engine

@@ -34,7 +34,9 @@ def flags(label: Column, animals: list[str]) -> list[Column]:
 
 def classify(items: DataFrame, protos: DataFrame, key: str, vec: str, truth: str | None = None) -> DataFrame:
     """(key, pred, sim_<label>..., and with a truth column true_label and agree). A missing truth never agrees."""
-    names = [r["label"] for r in protos.select("label").orderBy("label").collect()]  # a configuration table
+    names = [r["label"] for r in protos.select("label").orderBy("label").limit(V.MOST + 1).collect()]  # a configuration table
+    if len(names) > V.MOST:
+        raise ValueError(f"more than {V.MOST} prototypes")
     rows = with_bank(items, protos).withColumn("sims", V.similarities(F.col(vec), F.col("bank")))
 
     def sim(name) -> Column:

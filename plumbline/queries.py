@@ -858,3 +858,71 @@ class _Brands:
         if (batch["p_size"] % 7 == 0).any():
             raise ValueError("no answer for this size")
         return (batch["p_brand"] + " " + batch["p_type"]).to_frame("verdict")
+
+
+# ---- phrases, boxes in pixels, colours, engines without ids ----
+
+_PHRASES = ["economy", "red widget", "ring", "standard plus", "small"]
+
+
+@query(
+    """WITH p AS (SELECT *, lower(trim(p_name)) AS t, concat('x', lower(p_brand), ':0.', p_size % 10, '|', lower(p_brand), ':0.9') AS tags FROM part),
+v AS (SELECT *, CASE WHEN list_contains(v, t) THEN t ELSE list_filter(v, lambda p: t <> '' AND (contains(t, p) OR contains(p, t)))[1] END AS phrase FROM p, (SELECT ['economy', 'red widget', 'ring', 'standard plus', 'small'] AS v))
+SELECT p_partkey, phrase, concat(lower(trim(p_name)), '. ', lower(trim(p_type)), '.') AS caption, p_type AS original, CASE WHEN lower(p_brand) = 'brand#2' THEN CAST(concat('0.', p_size % 10) AS DOUBLE) ELSE 0 END AS loose,
+CASE WHEN lower(p_brand) = 'brand#2' THEN 0.9 ELSE 0 END AS strict, CASE WHEN p_size % 5 > 0 THEN CAST(1900 + p_size AS INTEGER) END AS year, CASE WHEN p_size % 3 = 0 THEN 'none' ELSE trim(p_type) END AS compared FROM v"""
+)
+def label_phrases(spark, sf_dir):
+    """Phrases out of free texts, captions and back, confidences with and without an anchor, years."""
+    p = _t(spark, sf_dir, "part")
+    tags = F.concat(F.lit("x"), F.lower("p_brand"), F.lit(":0."), F.col("p_size") % 10, F.lit("|"), F.lower("p_brand"), F.lit(":0.9"))
+    phrases = F.array("p_name", "p_type")
+    year = F.when(F.col("p_size") % 5 > 0, F.concat((F.col("p_size") + 1900).cast("string"), F.lit(".0"))).otherwise("unknown")
+    return p.withColumn("tags", tags).select(
+        "p_partkey", L.matched_phrase(F.col("p_name"), _PHRASES).alias("phrase"), L.caption(phrases).alias("caption"),
+        L.caption_lookup(phrases)[F.lower(F.trim("p_type"))].alias("original"),
+        L.confidence_of(F.col("tags"), "brand#2").alias("loose"), L.confidence_of(F.col("tags"), "brand#2", anchored=True).alias("strict"),
+        L.year(year).alias("year"), L.comparable(F.when(F.col("p_size") % 3 == 0, " uncertain").otherwise(F.col("p_type"))).alias("compared"),
+    )
+
+
+@query(
+    """WITH l AS (SELECT l_orderkey AS o, l_linenumber AS n, l_quantity * 20 - 100 AS a, l_partkey % 700::DOUBLE AS b, l_suppkey * 7::DOUBLE AS c, l_quantity * 11::DOUBLE AS d FROM lineitem),
+s AS (SELECT *, least(a, c) AS x0, greatest(a, c) AS x1, least(b, d) AS y0, greatest(b, d) AS y1 FROM l),
+r AS (SELECT *, round(greatest(x0, 0) / 700, 4) AS x, round(greatest(y0, 0) / 600, 4) AS y, round(greatest(x1 - x0, 0) / 700, 4) AS w, round(greatest(y1 - y0, 0) / 600, 4) AS h, round(greatest(c - a, 0) / 700, 4) AS uw FROM s),
+p AS (SELECT *, CAST(greatest(floor((x - w * 0.25::DOUBLE) * 700), 0) AS INTEGER) AS l, CAST(greatest(floor((y - h * 0.25::DOUBLE) * 600), 0) AS INTEGER) AS t,
+CAST(least(ceil((x + w + w * 0.25::DOUBLE) * 700), 700) AS INTEGER) AS e, CAST(least(ceil((y + h + h * 0.25::DOUBLE) * 600), 600) AS INTEGER) AS u FROM r)
+SELECT o AS l_orderkey, n AS l_linenumber, x, y, w, h, uw, CASE WHEN e <= l OR u <= t THEN 0 ELSE l END AS x0, CASE WHEN e <= l OR u <= t THEN 0 ELSE t END AS y0,
+CASE WHEN e <= l OR u <= t THEN 700 ELSE e END AS x1, CASE WHEN e <= l OR u <= t THEN 600 ELSE u END AS y1 FROM p"""
+)
+def box_conversions(spark, sf_dir):
+    """Corners in pixels to boxes in shares, with corners in either order and as they come, and crops with padding."""
+    corners = (F.col("l_quantity") * 20 - 100, (F.col("l_partkey") % 700).cast("double"), F.col("l_suppkey") * F.lit(7.0), F.col("l_quantity") * 11)
+    size = (F.lit(700.0), F.lit(600.0))
+    rows = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", B.from_corners(*corners, *size).alias("b"), B.from_corners(*corners, *size, sort=False)[2].alias("uw"))
+    crop = B.padded_crop(F.col("b"), *size)
+    return rows.select("l_orderkey", "l_linenumber", *[F.col("b")[i].alias(n) for i, n in enumerate("xywh")], "uw", *[crop[n].alias(n) for n in ("x0", "y0", "x1", "y1")])
+
+
+@query(
+    """WITH p AS (SELECT l_orderkey AS o, l_linenumber AS n, l_quantity * 2::DOUBLE AS l, l_discount * 800 - 40 AS a, l_tax * 900 - 36 AS b FROM lineitem),
+f AS (SELECT *, (l + 16) / 116 AS fy, (l + 16) / 116 + a / 500 AS fx, (l + 16) / 116 - b / 200 AS fz FROM p),
+q AS (SELECT o, n, CASE WHEN fx ** 3 > 0.008856 THEN fx ** 3 ELSE (fx - 16 / 116.0::DOUBLE) / 7.787 END * 0.95047 AS x, CASE WHEN fy ** 3 > 0.008856 THEN fy ** 3 ELSE (fy - 16 / 116.0::DOUBLE) / 7.787 END AS y,
+CASE WHEN fz ** 3 > 0.008856 THEN fz ** 3 ELSE (fz - 16 / 116.0::DOUBLE) / 7.787 END * 1.08883 AS z FROM f),
+c AS (SELECT o, n, [x * 3.2404542 + y * -1.5371385 + z * -0.4985314, x * -0.9692660 + y * 1.8760108 + z * 0.0415560, x * 0.0556434 + y * -0.2040259 + z * 1.0572252] AS c FROM q)
+SELECT o AS l_orderkey, n AS l_linenumber, '#' || array_to_string(list_transform(c, lambda v: printf('%02x', CAST(floor(least(greatest(CASE WHEN v <= 0.0031308 THEN v * 12.92 ELSE greatest(v, 0) ** (1 / 2.4::DOUBLE) * 1.055 - 0.055 END, 0), 1) * 255) AS INTEGER))), '') AS hex FROM c"""
+)
+def lab_hexes(spark, sf_dir):
+    """CIELAB values to colours, channels clipped and cut."""
+    lines = _t(spark, sf_dir, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", C.hex_of_lab(F.col("l_quantity") * 2, F.col("l_discount") * 800 - 40, F.col("l_tax") * 900 - 36).alias("hex"))
+
+
+@query(
+    """WITH e AS (SELECT event_type AS engine, user_id AS id FROM events UNION ALL SELECT 'elsewhere', -1 - user_id FROM events)
+SELECT engine, count(DISTINCT CASE WHEN id IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) THEN id END) AS n, bool_or(id IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)) AS scored FROM e GROUP BY engine"""
+)
+def engine_overlap(spark, sf_dir):
+    """How many of the base's ids each engine has; one that has none isn't scored."""
+    e = _t(spark, sf_dir, "events")
+    verdicts = e.select(F.col("event_type").alias("engine"), F.col("user_id").alias("id")).union(e.select(F.lit("elsewhere"), -1 - F.col("user_id")))
+    return evaluate.overlap(verdicts, _t(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id")), "id")

@@ -20,8 +20,26 @@ class Provider(Protocol):
     def infer(self, batch: pd.DataFrame) -> pd.DataFrame: ...
 
 
-def run(rows: DataFrame, provider: Provider, key: str = "id", batch: int = 64) -> DataFrame:
-    """(key, provider's columns, revision, error): one inference a row, in batches; a broken batch is tried row by row."""
+#: Revisions that move: what they name today is something else tomorrow.
+MOVING = ("", "main", "master", "latest", "head")
+
+
+def require_pin(provider: Provider, pins: dict[str, str]) -> None:
+    """Refuses a provider without a pinned revision, with another one than its pin, or with a pin that moves."""
+    pin = pins.get(provider.name)
+    if pin is None or pin.strip().lower() in MOVING:
+        raise ValueError(f"{provider.name} has no pinned revision")
+    if provider.revision != pin:
+        raise ValueError(f"{provider.name} is of revision {provider.revision}, pinned is {pin}")
+
+
+def run(rows: DataFrame, provider: Provider, key: str = "id", batch: int = 64, pins: dict[str, str] | None = None) -> DataFrame:
+    """(key, provider's columns, revision, error): one inference a row, in batches; a broken batch is tried row by row.
+
+    With pins (name -> revision), a provider that isn't of its pinned revision is refused before anything is read.
+    """
+    if pins is not None:
+        require_pin(provider, pins)
     names = [c.strip().split()[0] for c in provider.output.split(", ")]
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:

@@ -133,6 +133,16 @@ def verified_files(spark: SparkSession, folder: str, pins: DataFrame) -> DataFra
     return found.join(pins, "name", "left").select("name", F.coalesce(F.col("found") == F.lower("sha256"), F.lit(False)).alias("ok"))
 
 
+def require_pins(spark: SparkSession, folder: str, pins: DataFrame) -> None:
+    """Refuses a folder of weights: a file whose digest isn't its pin, a file without a pin, and a pinned file that is missing."""
+    checked = verified_files(spark, folder, pins)
+    lost = pins.join(checked, "name", "left_anti").select("name", F.lit("missing").alias("why"))
+    wrong = checked.where(~F.col("ok")).join(pins, "name", "left").select("name", F.when(F.col("sha256").isNull(), "not pinned").otherwise("another digest").alias("why"))
+    bad = wrong.union(lost).orderBy("name").limit(20).collect()
+    if bad:
+        raise ValueError(f"{folder} is refused: " + ", ".join(f"{r.name} ({r.why})" for r in bad))
+
+
 # ---- control ----
 
 

@@ -57,6 +57,11 @@ def test_gz_titles_and_pins(spark, tmp_path):
     (tmp_path / "w/b.bin").write_bytes(b"y")
     pins = spark.createDataFrame([("a.bin", hashlib.sha256(b"x").hexdigest()), ("b.bin", "0")], "name string, sha256 string")
     assert {r["name"]: r["ok"] for r in tables.verified_files(spark, f"{tmp_path}/w", pins).collect()} == {"a.bin": True, "b.bin": False}
+    right = [("a.bin", hashlib.sha256(b"x").hexdigest()), ("b.bin", hashlib.sha256(b"y").hexdigest().upper())]
+    tables.require_pins(spark, f"{tmp_path}/w", spark.createDataFrame(right, "name string, sha256 string"))
+    for bad, why in ((right[:1], "b.bin .not pinned"), ([right[0], ("b.bin", "0")], "b.bin .another digest"), ([*right, ("c.bin", "0")], "c.bin .missing")):
+        with pytest.raises(ValueError, match=why):
+            tables.require_pins(spark, f"{tmp_path}/w", spark.createDataFrame(bad, "name string, sha256 string"))
 
 
 def test_built_makes_what_is_missing(spark, tmp_path):
@@ -173,3 +178,14 @@ def test_as_of_takes_the_last_one(spark):
     right = spark.createDataFrame([("a", 3, 30), ("a", 5, 50), ("a", 6, 60)], "k string, t int, v int")
     got = {(r["k"], r["t"]): r["r_v"] for r in time_joins.as_of(left, right, "k", "t", ["v"]).collect()}
     assert got == {("a", 5): 50, ("a", 1): None, ("b", 5): None}
+
+
+def test_pins_of_providers(spark, embedder):
+    from plumbline.sources import providers
+
+    ship(spark)
+    rows = spark.createDataFrame([("1", "x")], "id string, content string")
+    assert providers.run(rows, embedder, pins={embedder.name: embedder.revision}).count() == 1
+    for pins in ({}, {embedder.name: "main"}, {embedder.name: "another"}):
+        with pytest.raises(ValueError, match=embedder.name):
+            providers.run(rows, embedder, pins=pins)
