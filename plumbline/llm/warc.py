@@ -96,18 +96,26 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the table, each record's rows one after another, to one row for each record; checks the digests on the way."""
+    """Rows of the table, each record's rows one after another, to one row for each record; checks the digests on the way.
+
+    A row that is missing, first, in the middle or last, stops the job.
+    """
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string())])
     number = lambda text: int(text) if text else None
     head: dict[str, str] = {}
-    digest, seen, left = hashlib.sha1(), 0, 0
+    digest, seen, left, at = hashlib.sha1(), 0, 0, None
     for batch in batches:
         out = []
         columns = [batch.column(c) for c in ("record_id", "chunk_no", "chunks", "payload_sha1", "data")]
         for i in range(batch.num_rows):
             name, k, n, sha1 = (c[i].as_py() for c in columns[:-1])
             data = memoryview(columns[-1][i].as_buffer())
+            if left and name != at:
+                raise ValueError(f"{at}: the last {left} rows are missing")
             if k == 0:
+                if left:
+                    raise ValueError(f"{name}: begins twice")
+                at = name
                 top = bytes(data).index(END)
                 version, *lines = bytes(data[:top]).decode().split("\r\n")
                 head = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)
@@ -115,7 +123,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     raise ValueError(f"{name}: not the start of this record")
                 digest, seen, left = hashlib.sha1(), 0, n
                 data = data[top + len(END) + (len(HTTP) if head["WARC-Type"] == "response" else 0) :]
-            if k != n - left:
+            if k != n - left or name != at:
                 raise ValueError(f"{name}: row {k} of {n} is out of order")
             left -= 1
             piece = data[: len(data) - (len(END) if left == 0 else 0)]
@@ -132,6 +140,8 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append((number(head["X-Page-ID"]), size, found, head["WARC-Type"], number(head.get("X-Refers-To-Page-ID", "")), head["WARC-Target-URI"]))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+    if left:
+        raise ValueError(f"{at}: the last {left} rows are missing")
 
 
 def write_records(pages: DataFrame, path: str | None = None, min_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> str:
