@@ -296,6 +296,11 @@ class Model:
         return n, per_text((count > 0).astype(np.int64)), per_text(np.log10(base)), per_text(np.log10(np.minimum(p, 1.0)))
 
 
+def _part_of(edges: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The word shard of each number: how many shards end at or before it."""
+    return np.searchsorted(edges, word, "right").astype(np.int32)
+
+
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Counts all tokens and pairs of docs and writes the trie. Null text counts as empty: one end."""
     spark = docs.sparkSession
@@ -390,12 +395,14 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         return pd.DataFrame({"shard": [k]})
 
     per_word = mass.groupBy("word").agg(F.sum("mass").alias("mass"))
-    edges = [int(x) for x in offset[1:-1]]
-    of = F.lit(0)
-    for e in edges:
-        of = of + (F.col("word") >= e).cast("int")
+    edges = np.asarray(offset[1:-1], np.int64)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_part_of(edges, b.column("word").to_numpy())), *b.columns], ["shard", "word", "mass"])
+
     blank = spark.createDataFrame([(k, None, None) for k in range(1 << bits) if sizes[k]], "shard int, word long, mass double")
-    per_word.select(of.cast("int").alias("shard"), "word", "mass").unionByName(blank).groupBy("shard").applyInPandas(write_backoff, "shard int").collect()
+    per_word.mapInArrow(placed, "shard int, word long, mass double").unionByName(blank).groupBy("shard").applyInPandas(write_backoff, "shard int").collect()
     return model
 
 
