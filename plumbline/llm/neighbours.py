@@ -162,7 +162,7 @@ class _Search:
         self.k = k
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by (shelf, block, role): the block's classes, role 0, then its queries. Gives (qid, cid, score)."""
+        """Rows sorted by (shelf, block, role): the block's classes, role 0, then its queries. Gives (qid, cid, low, score)."""
         at, parts, block = None, [], None
         for batch in batches:
             shelf, of, role = (batch.column(c).to_numpy() for c in ("shelf", "block", "role"))
@@ -173,22 +173,32 @@ class _Search:
                     at, parts, block = (shelf[i], of[i]), [], None
                 ids, raw = rows.column("id").to_numpy(), _matrix([x.as_buffer() for x in rows.column("vec")])
                 if role[i] == 0:
-                    parts.append((raw, ids, rows.column("leaf").to_numpy() % SHELF))
+                    parts.append((raw, ids, rows.column("low").to_numpy(), rows.column("leaf").to_numpy() % SHELF))
                 elif parts:
                     block = block or tuple(np.concatenate(p) for p in zip(*parts, strict=True))
                     for q in range(0, len(ids), 256):
                         yield self._best(raw[q : q + 256], ids[q : q + 256], rows.column("leaves").slice(q, 256).to_pylist(), *block)
 
-    def _best(self, asking, qid, leaves, have, cid, leaf) -> pa.RecordBatch:
+    def _best(self, asking, qid, leaves, have, cid, low, leaf) -> pa.RecordBatch:
+        """The k + 1 best classes of a block for each query by exact product, ties by their smallest id.
+
+        The product of matrices errs in its last bits, so all that come within its error of place k + 1 are compared exactly.
+        """
         most = min(self.k + 1, len(have))
         visited = np.zeros((len(qid), SHELF), bool)
         for row, at in enumerate(leaves):
             visited[row, at] = True
         away = np.where(visited[:, leaf], -(asking @ have.T), np.inf)
-        best = np.argpartition(away, most - 1, axis=1)[:, :most]
-        hit = np.isfinite(np.take_along_axis(away, best, 1))
-        exact = (asking[:, None, :] * have[best]).sum(2)
-        return pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(qid[:, None], hit.shape)[hit]), pa.array(cid[best][hit]), pa.array(exact[hit])], ["qid", "cid", "score"])
+        error = 4 * have.shape[1] * np.finfo(float).eps * np.sqrt((asking**2).sum(1)) * np.sqrt((have**2).sum(1).max())
+        last = np.partition(away, most - 1, axis=1)[:, most - 1] + error
+        row, best = np.nonzero((away <= last[:, None]) & np.isfinite(away))
+        exact = np.concatenate([(asking[row[i : i + 4096]] * have[best[i : i + 4096]]).sum(1) for i in range(0, len(row), 4096)] or [np.zeros(0)])
+        order = np.lexsort((low[best], -exact, row))
+        row, best, exact = row[order], best[order], exact[order]
+        first = np.searchsorted(row, np.arange(len(qid)))
+        keep = np.arange(len(row)) - first[row] < most
+        row, best, exact = row[keep], best[keep], exact[keep]
+        return pa.RecordBatch.from_arrays([pa.array(qid[row]), pa.array(cid[best]), pa.array(low[best]), pa.array(exact)], ["qid", "cid", "low", "score"])
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -249,14 +259,14 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
 
     visits = asked.select("qid", "vec").distinct().mapInPandas(routed, "qid long, vec binary, shelf int, leaves array<int>")
     blocks = F.broadcast(blocks)  # a row for each SHELF leaves
-    visits = visits.join(blocks, "shelf").select("shelf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), F.col("qid").alias("id"), "vec", F.lit(None).cast("int").alias("leaf"), "leaves")
+    visits = visits.join(blocks, "shelf").select("shelf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), F.col("qid").alias("id"), "vec", F.lit(None).cast("long").alias("low"), F.lit(None).cast("int").alias("leaf"), "leaves")
     by_block = index.withColumn("shelf", F.floor(F.col("leaf") / SHELF).cast("int")).join(blocks, "shelf")
-    by_block = by_block.select("shelf", F.pmod(F.col("cid"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), F.col("cid").alias("id"), "vec", "leaf", F.lit(None).cast("array<int>").alias("leaves"))
+    by_block = by_block.select("shelf", F.pmod(F.col("cid"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), F.col("cid").alias("id"), "vec", F.col("ids")[0].alias("low"), "leaf", F.lit(None).cast("array<int>").alias("leaves"))
     sorted_ = by_block.unionByName(visits).repartition("shelf", "block").sortWithinPartitions("shelf", "block", "role")
-    found = sorted_.mapInArrow(_Search(k), "qid long, cid long, score double")
-    # the k + 1 best classes of a query and those that tie with the last of them
-    ranked = Window.partitionBy("qid").orderBy(F.desc("score"))
-    kept = written(found.withColumn("r", F.rank().over(ranked)).where(F.col("r") <= k + 1).select("qid", "cid", "score"), "found")
+    found = sorted_.mapInArrow(_Search(k), "qid long, cid long, low long, score double")
+    # the k + 1 best classes of a query, ties by their smallest ids: any row beyond them has k better ones, each in another class
+    ranked = Window.partitionBy("qid").orderBy(F.desc("score"), "low")
+    kept = written(found.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= k + 1).select("qid", "cid", "score"), "found")
     shared.destroy()
     lists = kept.join(classes.select("cid", "ids"), "cid").groupBy("qid").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
     pairs = F.flatten(F.transform("found", lambda c: F.transform(c["ids"], lambda i: F.struct((-c["score"]).alias("minus"), i.alias("vec_id")))))

@@ -163,6 +163,23 @@ def test_warc_finds_damage(spark):
         warc.read_records(spark, path + "-broken").collect()
 
 
+@pytest.mark.parametrize("lost", [[0], [1], [3], [2, 3], [0, 1, 2, 3]])
+def test_warc_misses_rows(spark, lost):
+    """Rows of one record are gone: the first, one in the middle, the last ones. Where all are, the other records are read."""
+    ship(spark)
+    pages = spark.createDataFrame([(i, "u", f"{i}" * (warc.CHUNK * 7 // 2)) for i in range(1, 9)], "page_id long, url string, html string")
+    kept = spark.read.schema(warc.ROWS).parquet(warc.write_records(pages)).collect()
+    schema = pa.schema([("record_id", pa.string()), ("chunk_no", pa.int32()), ("chunks", pa.int32()), ("payload_sha1", pa.string()), ("data", pa.binary())])
+    for page in (1, 4, 8):  # at the begin, in the middle and at the end of the rows
+        rows = sorted((r.record_id, r.chunk_no, r.chunks, r.payload_sha1, bytes(r.data)) for r in kept if r.page_id != page or r.chunk_no not in lost)
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i : i + 5], strict=True), schema, strict=True)], schema=schema) for i in range(0, len(rows), 5)]
+        if len(lost) == 4:
+            assert sum(b.num_rows for b in warc._records(iter(batches))) == 7
+        else:
+            with pytest.raises(ValueError, match="missing|out of order|not the start|begins twice"):
+                list(warc._records(iter(batches)))
+
+
 # ---- 8 neighbours ----
 
 
@@ -197,6 +214,19 @@ def test_neighbours_rows_and_ties(spark):
     assert neighbours.nearest(frame.limit(0)).count() == 0
 
 
+def test_equal_products_of_different_vectors(spark, monkeypatch):
+    """One product for all pairs with the query: the smallest ids come, in one block and in many."""
+    ship(spark)
+    rng = np.random.default_rng(5)
+    rows = [(0, [1.0, 0.0, 0.0, 0.0])] + [(int(i), [0.3, *(rng.normal(size=3) / 7).tolist()]) for i in rng.permutation(np.arange(1, 400))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    for block in (neighbours.BLOCK, 50):
+        monkeypatch.setattr(neighbours, "BLOCK", block)
+        monkeypatch.setattr(neighbours, "LEAF", 1000)
+        got = neighbours.nearest(frame, k=20, every=1000).orderBy("rank").collect()
+        assert [(r.rank, r.vec_id, r.score) for r in got] == [(i, i, 0.3) for i in range(1, 21)]
+
+
 def test_neighbours_recall(spark, data):
     frame = table(spark, data.replace("0.001", "0.1"), "embeddings")
     want = brute([(r["vec_id"], r["embedding"]) for r in frame.collect()], 20, 20)

@@ -383,6 +383,21 @@ def test_lm_against_counts(spark, odd, none, monkeypatch):
     assert lm.held_out_scores(none).count() == 0
 
 
+def test_lm_with_very_many_word_shards(spark, monkeypatch):
+    """The same scores whether words lie in one shard or in over a thousand; numbers find their shards among 2,000."""
+    edges = np.sort(np.random.default_rng(1).integers(0, 5000, 2000))
+    numbers = np.arange(-1, 5002)
+    assert lm._part_of(edges, numbers).tolist() == [int((edges <= n).sum()) for n in numbers.tolist()]
+    ship(spark)
+    r = random.Random(8)
+    docs = spark.createDataFrame([(i, " ".join(f"w{r.randrange(1200)}" for _ in range(120))) for i in range(40)], "doc_id long, text string")
+    few = {x.doc_id: x.score for x in lm.score(docs, lm.train(docs)).collect()}
+    monkeypatch.setattr(lm, "SHARD_WORDS", 1)
+    many = lm.train(docs)
+    assert many.bits >= 10
+    assert {x.doc_id: x.score for x in lm.score(docs, many).collect()} == pytest.approx(few)
+
+
 def test_lm_beats_the_base_on_held_out_rows(spark, data):
     got = Q.op5_lm(spark, data.replace("0.001", "0.01")).where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
     assert got[1] > got[0]
