@@ -6,7 +6,7 @@ surrogate in all texts (coreference): phones, cards and numbers of accounts by t
 spaced, names word by word, so that Mr. Smith and Mr. John Smith share the family name. Surrogates keep what makes the
 kind: digits stay digits, letters stay letters of their script, separators, calling codes, countries, prefixes of keys,
 top-level domains, the first digit and the Luhn sum of card numbers and the check digits of IBANs stay right; a person's
-surrogate keeps the title and takes a given name of the title's gender in the script of the name. Surrogates that two
+surrogate keeps the title and takes given names of the title's gender in the script of the name, initials stay initials. Surrogates that two
 entities share, or that are entities of the table themselves, are found by grouping and drawn again with the next
 attempt, until all are distinct.
 
@@ -17,7 +17,10 @@ Texts without a digit, an @, a title or a key's prefix pass through without a sh
 replacements by a digest of the text, so copies are replaced alike and very common texts or entities are plain skewed
 joins between two exchanges, which adaptive execution splits.
 
-Not detected: persons without a title (a bare Smith stays), street addresses, dates of birth, phones without + in other
+Numbers as long as a card's whose Luhn sum doesn't fit stay, as do card numbers next to a letter.
+
+Not detected: persons without a title (a bare Smith stays), names of more than three words beside initials, particles of names
+in small letters (van, de), street addresses, dates of birth, phones without + in other
 forms than those of `national`, and secrets of other forms than those of `secret` and `key`. A phone's national and
 international forms are two entities, as is a name under titles of different gender.
 """
@@ -54,24 +57,28 @@ LETTERS = {
     "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
     "greek": "αβγδεζηθικλμνξοπρστυφχψω",
 }
+FEMALE, MALE, NEUTRAL = ([*names, *(n.upper() for n in names)] for names in (FEMALE, MALE, NEUTRAL))
 _TITLE = "|".join(sorted(FEMALE + MALE + NEUTRAL, key=len, reverse=True))
 #: One title, or several as in Prof. Dr.
 _TITLES = rf"(?:{_TITLE})\.?(?: (?:{'|'.join(NEUTRAL)})\.?)*"
+#: A word of a name: McDonald, O'Neill, Smith-Jones, SMITH; the 's of a genitive isn't part of it. Initials have a point.
+_WORD = r"\p{Lu}(?:\p{L}++|(?=['’]\p{L}{2}))(?:-\p{L}++|['’]\p{L}{2,}+)*+"
+_NAME = rf"(?:\p{{Lu}}\. ){{0,3}}{_WORD}(?: (?:\p{{Lu}}\. ){{0,2}}{_WORD}){{0,2}}"
 #: Calling codes with one or two digits; all others have three.
 _CALLING = r"\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: A host has 127 labels at most and a label 63 characters, so no match goes deeper than that.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]{1,63}+\.){1,126}\p{L}{2,24}(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![\p{L}\p{N}])",
-    "key": r"(?<![\p{L}\p{N}_\-])(?:(?:sk|pk|rk)_(?:live|test)_[0-9A-Za-z]{16,99}|gh[opsu]_[0-9A-Za-z]{36}|xox[abp]-[0-9A-Za-z\-]{10,99}|A[KS]IA[0-9A-Z]{16})(?![\p{L}\p{N}])",
-    "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])",
+    "key": r"(?<![\p{L}\p{N}_\-])(?:(?:sk|pk|rk)_(?:live|test)_[0-9A-Za-z]{16,}+|gh[opsu]_[0-9A-Za-z]{36}|xox[abp]-[0-9A-Za-z\-]{10,}+|A[KS]IA[0-9A-Z]{16})(?![\p{L}\p{N}])",
+    "secret": r"(?<![0-9A-Za-z])(?:[0-9A-Fa-f]{32,64}|(?=\d{0,63}[A-Fa-f])[0-9A-Fa-f]{65,}+)(?![0-9A-Za-z])",
     "ipv6": r"(?<![\p{L}\p{N}:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]{0,38}\d)(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])",
     "phone": r"(?<![\d+])\+\d{1,3}[ .\-]?(?:(?:\(\d{2,4}\)|\d{2,4})[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\d(?:[ .\-]\d{2}){4})(?!\d)",
-    "card": r"(?<![\d.\-])(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-]|\.\d)",
+    "card": r"(?<![\p{L}\d.\-])(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\p{L}\d\-]|\.\d)",
     "ssn": r"(?<![\d\-])\d{3}(?:-\d{2}-| \d{2} )\d{4}(?![\d\-])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "national": r"(?<![\d+.\-])(?:(?:1[ \-])?(?:\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})|0\d{2,4}[ \-]\d{3,4}[ \-]\d{4}|0\d(?:[ .\-]\d{2}){4})(?![\d\-]|\.\d)",
-    "person": rf"(?<![\p{{L}}\p{{N}}\-]){_TITLES} \p{{Lu}}\p{{Ll}}++(?: \p{{Lu}}\p{{Ll}}++)?",
+    "person": rf"(?<![\p{{L}}\p{{N}}\-]){_TITLES} {_NAME}",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: From this attempt on a surrogate gets a suffix, so that kinds with few possible values end as well.
@@ -96,40 +103,46 @@ def _kind(surface: Column) -> Column:
     return (
         F.when(F.contains(surface, F.lit("@")), "email")
         .when(surface.startswith("+"), "phone")
-        .when(surface.rlike("^[0-9A-Fa-f]{32,64}$"), "secret")
+        .when(surface.rlike("^[0-9A-Fa-f]{32,}$"), "secret")
         .when(surface.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ip")
         .when(surface.rlike("^[0-9A-Fa-f:]+$") & F.contains(surface, F.lit(":")), "ipv6")
         .when(surface.rlike(r"^\d{3}(?:-\d{2}-| \d{2} )\d{4}$"), "ssn")
         .when(is_("national"), "phone")
-        .when(surface.rlike(r"^[\d \-]+$"), "card")
+        .when(surface.rlike(r"^[\d \-]+$"), F.when(_luhn(F.regexp_replace(surface, r"\D", "")) == 0, "card").otherwise(PLAIN))
         .when(is_("iban"), "iban")
         .when(is_("key"), "key")
         .otherwise("person")
     )
 
 
+#: What the expression finds and is none: numbers as long as a card's without its check digit. They stay.
+PLAIN = "plain"
 #: Kinds that are known by their digits and letters alone, so that their separators are the surface's.
 SPACED = ("phone", "card", "ssn", "iban")
 
 
 def _title(surface: Column) -> Column:
     """The titles before a name, with the space after them; none for other kinds."""
-    return F.regexp_extract(surface, rf"^({_TITLES} )\p{{Lu}}\p{{Ll}}", 1)
+    return F.regexp_extract(surface, rf"^({_TITLES} )\p{{Lu}}", 1)
 
 
 def _parts(surface: Column, kind: Column) -> Column:
-    """What each place's surface is known by: one struct (kind, canonical, surface), or two for a given and a family name.
+    """What each place's surface is known by: structs (kind, canonical, surface, before), one for each word of a name and one for all else.
 
-    Case doesn't count in addresses and secrets, titles not in names, separators not in numbers.
+    The last word of a name is the family's, hyphens divide words, so Smith-Jones shares a part with Smith; `before` is what stands before the part.
+    Case doesn't count in addresses, secrets and names, titles not in names, separators not in numbers.
     """
     canonical = F.when(kind.isin("email", "secret", "ipv6"), F.lower(surface)).when(kind.isin(*SPACED), F.regexp_replace(surface, r"[^\p{L}\d+]", "")).otherwise(surface)
     sex = F.when(surface.rlike(rf"^(?:{'|'.join(FEMALE)})\.? "), "f").when(surface.rlike(rf"^(?:{'|'.join(NEUTRAL)})\.? "), "n").otherwise("m")
-    name = F.substring(surface, F.length(_title(surface)) + 1, F.length(surface))
-    part = lambda k, c, s: F.struct(k.alias("kind"), c.alias("canonical"), s.alias("surface"))
-    family = F.substring_index(name, " ", -1)
-    given = F.substring_index(name, " ", 1)
-    both = F.array(part(F.concat(F.lit("given "), sex), given, given), part(F.lit("family"), family, family))
-    return F.when(kind != "person", F.array(part(kind, canonical, surface))).when(F.contains(name, F.lit(" ")), both).otherwise(F.array(part(F.lit("family"), family, family)))
+    words = F.split(F.substring(surface, F.length(_title(surface)) + 1, F.length(surface)), " ")
+    part = lambda k, c, s, b: F.struct(k.alias("kind"), c.alias("canonical"), s.alias("surface"), b.alias("before"))
+    plain = lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, F.lit(2), F.length(w))))
+
+    def name(w: Column, i: Column) -> Column:
+        of = F.when(w.rlike(r"^\p{Lu}\.$"), "initial").when(i == F.size(words) - 1, "family").otherwise(F.concat(F.lit("given "), sex))
+        return F.transform(F.split(w, "-"), lambda p, j: part(of, plain(p), p, F.when(j > 0, "-").when(i > 0, " ").otherwise("")))
+
+    return F.when(kind != "person", F.array(part(kind, canonical, surface, F.lit("")))).otherwise(F.flatten(F.transform(words, name)))
 
 
 def _draw(seed: Column, at, below: int) -> Column:
@@ -218,29 +231,32 @@ def _token(canonical: Column, seed: Column) -> Column:
     """A key's prefix stays; digits, small and capital letters after it are drawn anew."""
     kept = F.length(F.regexp_extract(canonical, r"^(?:\w\w_(?:live|test)_|gh._|xox.-|A.IA)", 0))
 
-    def one(i: Column) -> Column:
-        c = F.substring(canonical, i, F.lit(1))
+    def one(c: Column, at: Column) -> Column:
+        i = at + 1
         letter = lambda alphabet: F.substring(F.lit(alphabet), _draw(seed, i, 26) + 1, F.lit(1))
         new = F.when(c.rlike("[0-9]"), _draw(seed, i, 10).cast("string")).when(c.rlike("[a-z]"), letter(LETTERS["latin"])).when(c.rlike("[A-Z]"), letter(LETTERS["latin"].upper())).otherwise(c)
         return F.when(i <= kept, c).otherwise(new)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(canonical)), one), "")
+    return F.array_join(F.transform(F.split(canonical, ""), one), "")
 
 
 def _surrogate(kind: Column, canonical: Column, attempt: int, key: str, syllables: int) -> Column:
     """syllables: of family names at the first attempt."""
     seed = F.sha2(F.concat_ws("|", F.lit(key), kind, canonical, F.lit(str(attempt))), 256)
     hexed = F.array_join(F.transform(F.sequence(F.lit(1), F.length(canonical)), lambda i: F.when(F.substring(canonical, i, F.lit(1)) == ":", ":").otherwise(F.substring(F.lit("0123456789abcdef"), _draw(seed, i, 16) + 1, F.lit(1)))), "")
+    # digests one after another, as many as the secret is long
+    stream = F.array_join(F.transform(F.sequence(F.lit(0), F.floor(F.length(canonical) / 64).cast("int")), lambda k: F.sha2(F.concat_ws("|", seed, k.cast("string")), 256)), "")
     ip = F.concat_ws(".", *[(_draw(seed, k, 254) + 1).cast("string") for k in range(4)])
     # everything up to the top-level domain, which stays
     top = F.length(canonical) - F.length(F.substring_index(canonical, ".", -1))
     letters = _letters(canonical, seed, top)
     out = (
         F.when(kind == "email", letters if attempt < WIDEN else F.concat(F.lit(f"{attempt}."), letters))
-        .when(kind.isin("secret", "ipv6"), hexed)
+        .when(kind == "secret", F.substring(stream, F.lit(1), F.length(canonical)))
+        .when(kind == "ipv6", hexed)
         .when(kind == "ip", ip)
         .when(kind == "card", _card(canonical, seed))
-        .when(kind == "phone", _digits(canonical, seed, F.length(F.regexp_extract(canonical, f"^{_CALLING}|^0", 0))))
+        .when(kind == "phone", _digits(canonical, seed, F.length(F.regexp_extract(canonical, f"^{_CALLING}|^0|^1(?=[0-9]{{10}}$)", 0))))
         .when(kind == "ssn", _digits(canonical, seed, F.lit(0)))
         .when(kind == "iban", _iban(canonical, seed))
         .when(kind == "key", _token(canonical, seed))
@@ -251,6 +267,13 @@ def _surrogate(kind: Column, canonical: Column, attempt: int, key: str, syllable
     return out if attempt < WIDEN else F.when(kind == "email", out).otherwise(F.concat(out, F.lit(f"-{attempt}")))
 
 
+def _initial(canonical: Column, key: str) -> Column:
+    """Another initial of the script. Initials aren't kept apart, as there are few: family names tell persons apart."""
+    seed = F.sha2(F.concat_ws("|", F.lit(key), F.lit("initial"), canonical), 256)
+    of = lambda name: F.upper(F.substring(F.lit(LETTERS[name]), _draw(seed, 0, len(LETTERS[name])) + 1, F.lit(1)))
+    return F.concat(F.when(canonical.rlike(r"\p{IsCyrillic}"), of("cyrillic")).otherwise(of("latin")), F.lit("."))
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """Distinct (kind, canonical) to (kind, canonical, surrogate): a surrogate belongs to one entity and is none of the table.
 
@@ -298,7 +321,8 @@ def _as_surface(surface: Column, kind: Column, surrogate: Column) -> Column:
     shouted = (surface == F.upper(surface)) & (surface != F.lower(surface))
     capital = F.substring(surface, 1, 1) != F.lower(F.substring(surface, 1, 1))
     cased = F.when(shouted, F.upper(surrogate)).when(capital, F.concat(F.upper(F.substring(surrogate, 1, 1)), F.substring(surrogate, F.lit(2), F.length(surrogate)))).otherwise(surrogate)
-    return F.when(kind.isin("email", "secret", "ipv6"), cased).when(kind.isin(*SPACED), _spaced(surface, surrogate)).otherwise(surrogate)
+    named = F.when(shouted & (F.length(surface) > 2), F.upper(surrogate)).otherwise(surrogate)
+    return F.when((kind == "family") | kind.startswith("given"), named).when(kind.isin("email", "secret", "ipv6"), cased).when(kind.isin(*SPACED), _spaced(surface, surrogate)).otherwise(surrogate)
 
 
 def replace(docs: DataFrame, text_col: str = "text", key: str | None = None, kinds: str | None = None) -> DataFrame:
@@ -313,21 +337,23 @@ def replace(docs: DataFrame, text_col: str = "text", key: str | None = None, kin
     maybe = rows.where(may).drop(may).withColumn(sha, F.sha2(F.col(text_col), 256))
     found = maybe.select(F.col(sha).alias("sha"), F.regexp_extract_all(F.col(text_col), F.lit(ENTITY), F.lit(0)).alias("found")).where(F.size("found") > 0)
     found = written(found.groupBy("sha").agg(F.first("found").alias("found")), "found")
-    places = found.select("sha", F.posexplode("found").alias("pos", "whole")).withColumn("kind", _kind(F.col("whole")))
-    places = places.select("sha", "pos", F.when(F.col("kind") == "person", _title(F.col("whole"))).otherwise("").alias("title"), F.col("kind").alias("of"), F.posexplode(_parts(F.col("whole"), F.col("kind"))).alias("word", "x"))
+    found = found.select("sha", F.posexplode("found").alias("pos", "whole")).withColumn("kind", _kind(F.col("whole")))
+    plain = found.where(F.col("kind") == PLAIN).select("sha", "pos", F.col("kind").alias("of"), F.col("whole").alias("new"))
+    places = found.where(F.col("kind") != PLAIN).select("sha", "pos", F.when(F.col("kind") == "person", _title(F.col("whole"))).otherwise("").alias("title"), F.col("kind").alias("of"), F.posexplode(_parts(F.col("whole"), F.col("kind"))).alias("word", "x"))
     places = written(places.select("sha", "pos", "title", "of", "word", "x.*"), "places")
     entities = written(places.groupBy("kind", "canonical").agg(F.count(F.lit(1)).alias("n")).drop("n"), "entities")
-    known = surrogates(entities, key)
+    initials = F.col("kind") == "initial"
+    known = surrogates(entities.where(~initials), key).unionByName(entities.where(initials).withColumn("surrogate", _initial(F.col("canonical"), key)))
     new = places.join(known, ["kind", "canonical"])
-    text = F.concat(F.when(F.col("word") == 0, F.col("title")).otherwise(" "), _as_surface(F.col("surface"), F.col("kind"), F.col("surrogate")))
+    text = F.concat(F.when(F.col("word") == 0, F.col("title")).otherwise(F.col("before")), _as_surface(F.col("surface"), F.col("kind"), F.col("surrogate")))
     new = new.select("sha", "pos", "of", F.struct("word", text.alias("text")).alias("x")).repartition("sha")
-    new = new.groupBy("sha", "pos", "of").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["text"]), "").alias("new"))
+    new = new.groupBy("sha", "pos", "of").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["text"]), "").alias("new")).unionByName(plain)
     new = written(new.groupBy(F.col("sha").alias(sha)).agg(F.array_sort(F.collect_list(F.struct("pos", F.col("of").alias("kind"), "new"))).alias(new_)), "replacements")
     held = maybe.join(new, sha, "left").drop(sha)
     # a part more than entities; both lists are made once for each text
     woven = F.array_join(F.zip_with(F.split(F.col(text_col), ENTITY, -1), F.col(new_), lambda p, x: F.concat(p, F.coalesce(x["new"], F.lit("")))), "")
     held = held.withColumn(text_col, F.when(F.col(new_).isNotNull(), woven).otherwise(F.col(text_col)))
     none = F.array().cast("array<string>")
-    held = held.withColumn(kinds_, F.coalesce(F.transform(new_, lambda x: x["kind"]), none)).drop(new_)
+    held = held.withColumn(kinds_, F.coalesce(F.transform(F.filter(new_, lambda x: x["kind"] != PLAIN), lambda x: x["kind"]), none)).drop(new_)
     out = held.unionByName(rows.where(~F.col(may)).drop(may).withColumn(kinds_, none))
     return out.withColumnRenamed(kinds_, kinds) if kinds else out.drop(kinds_)
