@@ -107,7 +107,8 @@ def test_files_to_metrics(spark, tmp_path):
     (tmp_path / "broken.png").write_bytes(b"no image")
     found = tables.images(spark, str(tmp_path))
     got = {r["id"]: r for r in images.colours(found).collect()}
-    assert set(got) == {"red", "noise"}
+    assert set(got) == {"red", "noise", "broken"} and got["red"]["error"] is None
+    assert got["broken"]["error"] and got["broken"]["brightness"] is None and got["broken"]["palette"] is None
     assert got["red"]["red_share"] == 1.0 and got["red"]["band_red"] == 1.0 and got["red"]["palette_share"] == [1.0]
     shade = got["red"]["palette"][0]
     assert abs(int(shade[1:3], 16) - 200) <= 2 and int(shade[3:5], 16) <= 2 and int(shade[5:7], 16) <= 2
