@@ -42,10 +42,21 @@ def mounted(path: str) -> str:
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: df as a Parquet table in the shared folder, read again with its own schema."""
+def gathered(df: DataFrame, share: int = 8) -> DataFrame:
+    """df in 1 / share of the session's shuffle partitions, three for each core at least, without a shuffle.
+
+    For what comes out of a shuffle: a task takes its partitions one after another, each whole and in its order, so memory
+    is that of one partition still, but far fewer Python workers are fed and far fewer small files committed. Fewer
+    partitions than that stay as they are.
+    """
+    spark = df.sparkSession
+    return df.coalesce(max(int(spark.conf.get("spark.sql.shuffle.partitions")) // share, 3 * spark.sparkContext.defaultParallelism))
+
+
+def written(df: DataFrame, name: str, light: bool = False) -> DataFrame:
+    """Cuts the lineage: df as a Parquet table in the shared folder, read again with its own schema. light: see gathered()."""
     path = fresh(df.sparkSession, name)
-    df.write.parquet(path)
+    (gathered(df) if light else df).write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _paths[out] = path
     return out
@@ -99,19 +110,19 @@ def components(links: DataFrame) -> DataFrame:
     (min) before the shuffle. Nodes without links are absent. Empty links give no rows.
     """
     pairs = links.select("a", "b").where("a <> b")
-    both = written(pairs.union(pairs.select("b", "a")).distinct(), "links")
+    both = written(pairs.union(pairs.select("b", "a")).distinct(), "links", light=True)
     if both.isEmpty():
         return both.select(F.col("a").alias("id"), F.col("b").alias("root"))
-    label = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
+    label = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels", light=True)
     held = [label]
     while True:
         heard = both.join(label.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("heard"))
         near = label.join(heard, "id").select("id", F.col("root").alias("old"), F.least("root", "heard").alias("near"))
         # what a root's members have heard reaches the root too, so whole trees hook at once
         hooks = near.groupBy(F.col("old").alias("id")).agg(F.min("near").alias("hook"))
-        near = written(near.join(hooks, "id", "left").select("id", "old", F.least("near", F.coalesce("hook", "near")).alias("near")), "near")
+        near = written(near.join(hooks, "id", "left").select("id", "old", F.least("near", F.coalesce("hook", "near")).alias("near")), "near", light=True)
         jump = near.select(F.col("id").alias("near"), F.col("near").alias("far"))
-        after = written(near.join(jump, "near", "left").select("id", F.least("near", F.coalesce("far", "near")).alias("root"), "old"), "labels")
+        after = written(near.join(jump, "near", "left").select("id", F.least("near", F.coalesce("far", "near")).alias("root"), "old"), "labels", light=True)
         changed = after.where("root <> old").limit(1).count()
         discard(near, *held)
         label, held = after.select("id", "root"), [after]
@@ -131,4 +142,4 @@ def extended(root: DataFrame, links: DataFrame) -> DataFrame:
     between = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
     moved = components(between.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
     known = root.join(moved.select(F.col("id").alias("root"), F.col("root").alias("to")), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
-    return written(known.unionByName(moved.join(root.select("id"), "id", "left_anti")), "roots")
+    return written(known.unionByName(moved.join(root.select("id"), "id", "left_anti")), "roots", light=True)

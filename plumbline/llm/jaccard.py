@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import components, discard, extended, written
+from ._spark import components, discard, extended, gathered, written
 from ._words import mix, pieces, span_hashes, words
 
 N = 5
@@ -58,6 +58,8 @@ SHINGLES = 1 << 19
 #: An n-gram is dealt over SALTS tasks if the list says that it has 2 ** HOT texts or more.
 HOT = 10
 SALTS = 61
+#: Tasks with much work take so many shuffle partitions each (see gathered()).
+HEAVY = 4
 #: Sets of sizes with more than this ratio never link (4/3, and something for rounding).
 RATIO = 1.34
 KEY_BYTES = 8
@@ -524,7 +526,7 @@ class Join:
         common = common.orderBy(F.desc("df"), "ngram").limit(COMMON).toPandas()
         self.order = self.spark.sparkContext.broadcast(Order(common["ngram"].to_numpy().astype(np.int64).view(np.uint64), common["df"].to_numpy().astype(np.int64)))
         classes = self.rows.where("n > 0").groupBy("cid").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.min("n").alias("n"), F.min("check").alias("c"), F.max("check").alias("d"), F.first("stars").alias("stars"), F.first("sketch").alias("sketch"))
-        self.classes = written(classes.select("cid", F.col("first.place").alias("place"), "n", (F.col("c") != F.col("d")).alias("clash"), "stars", "sketch"), "classes")
+        self.classes = written(classes.select("cid", F.col("first.place").alias("place"), "n", (F.col("c") != F.col("d")).alias("clash"), "stars", "sketch"), "classes", light=True)
         if self.classes.where("clash").limit(1).count():
             raise RuntimeError("two different sets share a 64-bit hash")
 
@@ -556,24 +558,25 @@ class Join:
                     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["cid", "keys"])
 
         made = self.docs.mapInArrow(run, "cid long, keys binary").join(wanted, "cid", "left_semi")
-        out = written(made.dropDuplicates(["cid"]), "sets")
+        out = written(gathered(made.dropDuplicates(["cid"]), HEAVY), "sets")
         shared.destroy()
         return out
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that link."""
         of = lambda c: self.classes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
-        pairs = written(pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").mapInArrow(_near, "a long, b long, nb int"), "pairs")
+        both = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
+        pairs = written(gathered(both).mapInArrow(_near, "a long, b long, nb int"), "pairs")
         if pairs.isEmpty():  # no text has to be read again
             return pairs.select("a", "b")
         sets = self.sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
         blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("nb") / SHINGLES)).cast("int")
-        sizes = written(pairs.groupBy("a").agg(blocks.alias("blocks")), "sizes")
+        sizes = written(pairs.groupBy("a").agg(blocks.alias("blocks")), "sizes", light=True)
         cells = pairs.join(sizes, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
         partners = cells.join(sets, cells["b"] == sets["cid"]).select("a", "block", F.col("b").alias("cid"), F.lit(1).alias("role"), "keys")
         probes = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(sets, F.col("a") == sets["cid"]).select("a", "block", "cid", F.lit(0).alias("role"), "keys")
         rows = partners.unionByName(probes).repartition("a", "block").sortWithinPartitions("a", "block", "role", "cid")
-        out = written(rows.mapInArrow(_compared, "a long, b long"), "links")
+        out = written(gathered(rows, HEAVY).mapInArrow(_compared, "a long, b long"), "links")
         discard(pairs, sets, sizes)
         return out
 
@@ -584,7 +587,7 @@ class Join:
         named = written(named.select("root", "cid", "copies", F.expr(f"length(keys) div {KEY_BYTES}").alias("n"), "keys"), "members")
         cells = _cells(named, "root", MEMBERS, SHINGLES).select("root", "low", "high", "own", "cid", "copies", "keys")
         cells = cells.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
-        out = written(cells.mapInArrow(_counted, "cid long, links long").groupBy("cid").agg(F.sum("links").alias("links")), "counts")
+        out = written(gathered(cells, HEAVY).mapInArrow(_counted, "cid long, links long").groupBy("cid").agg(F.sum("links").alias("links")), "counts", light=True)
         discard(sets, named)
         return out
 
@@ -592,7 +595,7 @@ class Join:
         """Pairs of a class and the centre of a group that shares a smallest hash."""
         own = written(self.classes.select("cid", "n", F.posexplode("stars").alias("j", "key")), "stars")
         # the centre: the smallest of the class ids mixed with the key, so centres differ between hashes
-        centre = written(own.groupBy("j", "key").agg(F.min(F.struct("cid", "n")).alias("centre"), F.count(F.lit(1)).alias("many")).where("many > 1"), "centres")
+        centre = written(own.groupBy("j", "key").agg(F.min(F.struct("cid", "n")).alias("centre"), F.count(F.lit(1)).alias("many")).where("many > 1"), "centres", light=True)
         near = own.join(centre, ["j", "key"]).select(F.col("centre.cid").alias("a"), F.col("cid").alias("b"), "n", F.col("centre.n").alias("m"))
         near = near.where("a <> b").where(100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m"))
         return near.select("a", "b").distinct()
@@ -629,9 +632,9 @@ class Join:
     def prefix_pairs(self) -> tuple[DataFrame, DataFrame]:
         """(pairs (a, b) that share an n-gram of few classes, rows (ngram, cid, place) of those with many)."""
         rows = self.prefixes().repartition("ngram", "salt").sortWithinPartitions("ngram", "cid")
-        found = written(rows.mapInArrow(_candidates, "a long, b long, ngram long, cid long, place long"), "candidates")
+        found = written(gathered(rows, HEAVY).mapInArrow(_candidates, "a long, b long, ngram long, cid long, place long"), "candidates")
         # a class's copies come from several tasks
-        many = written(found.where("ngram is not null").groupBy("ngram", "cid").agg(F.min("place").alias("place")), "many")
+        many = written(found.where("ngram is not null").groupBy("ngram", "cid").agg(F.min("place").alias("place")), "many", light=True)
         return found.where("a is not null").select("a", "b").distinct(), many
 
     @staticmethod
@@ -646,16 +649,16 @@ class Join:
             rank = F.row_number().over(Window.partitionBy("cid").orderBy("place", "ngram"))
             many = many.withColumn("r", rank).where(F.col("r") <= grams).drop("r")
         named = many.join(root.withColumnRenamed("id", "cid"), "cid", "left").select("ngram", "cid", "place", F.coalesce("root", "cid").alias("root"))
-        named = written(named, "common")
+        named = written(named, "common", light=True)
         # sketches join only the rows of n-grams whose classes aren't all connected
-        mixed = written(named.groupBy("ngram").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("ngram"), "mixed")
+        mixed = written(named.groupBy("ngram").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("ngram"), "mixed", light=True)
         if mixed.isEmpty():
             return mixed.select(F.col("ngram").alias("a"), F.col("ngram").alias("b"))
         mixed = written(named.join(mixed, "ngram").join(self.classes.select("cid", "sketch"), "cid").withColumn("n", F.shiftright("place", 32)), "cells")
         discard(named)
         cells = _cells(mixed, "ngram", CELL).select("ngram", "low", "high", "own", "cid", "place", "root", "sketch")
         cells = cells.repartition("ngram", "low", "high").sortWithinPartitions("ngram", "low", "high")
-        return cells.mapInArrow(lambda b: _cell_pairs(b, nearest), "a long, b long").distinct()
+        return gathered(cells, HEAVY).mapInArrow(lambda b: _cell_pairs(b, nearest), "a long, b long").distinct()
 
     def close(self) -> None:
         """What executors hold goes; all that is still read has been written."""
@@ -676,16 +679,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     root = extended(root, join.links(join.apart(few, root)))
     for grams, nearest in (*ROUNDS, (None, None)):
         root = extended(root, join.links(join.common_pairs(many, root, grams, nearest)))
-    copies = written(join.rows.where("n > 0").groupBy("cid").agg(F.count(F.lit(1)).alias("copies")), "copies")
+    copies = written(join.rows.where("n > 0").groupBy("cid").agg(F.count(F.lit(1)).alias("copies")), "copies", light=True)
     per_class = copies.join(root.withColumnRenamed("id", "cid"), "cid", "left")
     if count_links:
         per_class = per_class.join(join.counts(root, copies), "cid", "left")
     else:
         per_class = per_class.withColumn("links", F.lit(None).cast("long"))
-    per_class = written(per_class.select("cid", F.coalesce("root", "cid").alias("root"), (F.coalesce("links", "copies") - 1).alias("n_links")), "classes")
+    per_class = written(per_class.select("cid", F.coalesce("root", "cid").alias("root"), (F.coalesce("links", "copies") - 1).alias("n_links")), "classes", light=True)
     join.close()
-    named = written(join.rows.where("n > 0").join(per_class, "cid").select("doc_id", "n", "root", "n_links"), "named")
-    first = written(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "first")
+    named = written(join.rows.where("n > 0").join(per_class, "cid").select("doc_id", "n", "root", "n_links"), "named", light=True)
+    first = written(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "first", light=True)
     columns = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", *(["n_links"] if count_links else [])]
     alone = join.rows.where("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("n_links", F.lit(0).cast("long"))
     return named.join(first, "root").select(*columns).unionByName(alone.select(*columns))
