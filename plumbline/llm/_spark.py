@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 from weakref import WeakKeyDictionary
 
@@ -62,6 +64,24 @@ def written(df: DataFrame, name: str, light: bool = False) -> DataFrame:
     return out
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> Iterator[None]:
+    """What runs within feeds Python in Arrow batches of that many bytes at most, a single longer row apart.
+
+    Wide rows (whole sets) would otherwise come 10,000 at once, held by the JVM and by the worker. The session's own setting comes back at last.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes written tables that nothing will read again: what came of them is written itself."""
     for t in tables:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import components, discard, extended, gathered, written
+from ._spark import components, discard, extended, gathered, small_batches, written
 from ._words import mix, pieces, span_hashes, words
 
 N = 5
@@ -181,13 +181,19 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def count() -> Iterator[pa.RecordBatch]:
         """The window's n-grams of two texts or more; the window starts anew, so memory doesn't follow the task's size."""
-        keys = np.concatenate(held) if held else np.zeros(0, np.uint64)
-        held.clear()
+        keys = np.empty(sum(map(len, held)), np.uint64)
+        end = len(keys)
+        while held:  # one copy of the window at a time
+            part = held.pop()
+            keys[end - len(part) : end] = part
+            end -= len(part)
         keys.sort()
-        start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])[: len(keys)]
-        counts = np.diff(np.r_[start, len(keys)])
-        often = counts >= 2
-        keys, counts = keys[start[often]].view(np.int64), counts[often].astype(np.int32)
+        again = keys[1:] == keys[:-1]
+        begins, ends = again.copy(), again.copy()
+        begins[1:] &= ~again[:-1]
+        ends[:-1] &= ~again[1:]
+        start = np.flatnonzero(begins)
+        keys, counts = keys[start].view(np.int64), (np.flatnonzero(ends) + 2 - start).astype(np.int32)
         for i in range(0, len(keys), 1 << 16):
             k = keys[i : i + (1 << 16)]
             yield pa.RecordBatch.from_arrays([*[pa.nulls(len(k), t) for t in kinds[:7]], pa.array(k), pa.array(counts[i : i + (1 << 16)])], names)
@@ -673,6 +679,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     no id; a component of null ids alone has a null id. Repeated rows are in one class and link with each other. Ids are
     cast to long. Extra columns aren't read. An empty table gives no rows.
     """
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, id_col, text_col, count_links)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, count_links: bool) -> DataFrame:
     join = Join(docs, id_col, text_col)
     root = components(join.links(join.stars()))
     few, many = join.prefix_pairs()
