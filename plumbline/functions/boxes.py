@@ -45,11 +45,25 @@ def parse_json(text: Column) -> Column:
     return F.coalesce(good, F.array()).cast(DETECTIONS)
 
 
-def iou(a: Column, b: Column) -> Column:
-    """Intersection over union; 0 for boxes without area, 1 at most."""
+def _both(a: Column, b: Column) -> Column:
+    """Area of the intersection."""
     w = F.least(a[0] + a[2], b[0] + b[2]) - F.greatest(a[0], b[0])
     h = F.least(a[1] + a[3], b[1] + b[3]) - F.greatest(a[1], b[1])
-    both = F.greatest(w, F.lit(0.0)) * F.greatest(h, F.lit(0.0))
+    return F.greatest(w, F.lit(0.0)) * F.greatest(h, F.lit(0.0))
+
+
+def overlap_more(a: Column, b: Column, share: float) -> Column:
+    """Whether the intersection is more than that share of the union of two boxes with area.
+
+    Compared as a product: the quotient may round down to the share where the product doesn't.
+    """
+    both = _both(a, b)
+    return both > F.lit(share) * (a[2] * a[3] + b[2] * b[3] - both)
+
+
+def iou(a: Column, b: Column) -> Column:
+    """Intersection over union; 0 for boxes without area, 1 at most."""
+    both = _both(a, b)
     union = a[2] * a[3] + b[2] * b[3] - both
     empty = (a[2] <= 0) | (a[3] <= 0) | (b[2] <= 0) | (b[3] <= 0) | (union <= 0)
     return F.when(empty, F.lit(0.0)).otherwise(F.least(both / F.when(union > 0, union), F.lit(1.0)))

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes as B
 
-#: Least score, overlap up to which both boxes stay, and how many of a set's best boxes are looked at.
-MIN_SCORE, MAX_OVERLAP, BEST = 0.6, 0.3, 5000
+#: Least score, and overlap up to which both boxes stay.
+MIN_SCORE, MAX_OVERLAP = 0.6, 0.3
 #: Grids are no finer than this power of two.
 FINEST = 20
 
@@ -26,11 +26,11 @@ def _cells(size: Column, at: Column, extent: Column) -> Column:
     return F.sequence(F.floor(at / size).cast("bigint"), F.floor((at + extent) / size).cast("bigint"))
 
 
-def suppressed(rows: DataFrame, keys: list[str], score: str = "score", box: str = "box", min_score: float = MIN_SCORE, max_overlap: float = MAX_OVERLAP, best: int = BEST) -> DataFrame:
+def suppressed(rows: DataFrame, keys: list[str], score: str = "score", box: str = "box", min_score: float = MIN_SCORE, max_overlap: float = MAX_OVERLAP, best: int | None = None) -> DataFrame:
     """The rows that stay, with their place among the looked-at ones of their set (`place`, from 1) as a further column.
 
     keys name a set; box is [x, y, w, h]. Rows below min_score, with null scores or without a box of four finite numbers go;
-    so do all but the `best` best of a set (an argument of the method, not a limit of ours). Equal scores are taken by
+    so do all but the `best` best of a set where a caller asks for that (all are looked at otherwise). Equal scores are taken by
     box, smaller first; rows that are equal in both are interchangeable, and of those one stays. Boxes without area overlap nothing. An empty table
     gives no rows.
     """
@@ -39,7 +39,9 @@ def suppressed(rows: DataFrame, keys: list[str], score: str = "score", box: str
     b = F.col(box)
     good = (F.col(score) >= min_score) & (F.size(b) == 4) & ~F.exists(b, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     order = Window.partitionBy(*keys).orderBy(F.col(score).desc(), b)
-    taken = rows.where(good).withColumn("place", F.row_number().over(order)).where(F.col("place") <= best)
+    taken = rows.where(good).withColumn("place", F.row_number().over(order))
+    if best is not None:
+        taken = taken.where(F.col("place") <= best)
 
     # the grid of a box: cells are as long as the next power of two of its longer side
     side = F.greatest(b[2], b[3])
@@ -56,7 +58,7 @@ def suppressed(rows: DataFrame, keys: list[str], score: str = "score", box: str
     corner = lambda k: F.floor(F.greatest(F.col("pb")[k], F.col("qb")[k]) / size).cast("bigint")
     here = (F.least("pown", "qown") == F.col("grid")) & (corner(0) == F.col("cx")) & (corner(1) == F.col("cy"))
     together = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in cell]
-    pairs = left.join(right, together).where((F.col("p") < F.col("q")) & here & (B.iou(F.col("pb"), F.col("qb")) > max_overlap))
+    pairs = left.join(right, together).where((F.col("p") < F.col("q")) & here & B.overlap_more(F.col("pb"), F.col("qb"), max_overlap))
 
     each = pairs.groupBy(*keys, "q").agg(F.collect_list("p").alias("better"))
     sets = each.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("q", "better"))).alias("all"))
