@@ -1,4 +1,7 @@
-"""Table functions for SQL, called in lateral joins. Rows go to Python and back as Arrow batches."""
+"""Table functions for SQL, called in lateral joins.
+
+Rows go to Python and back pickled, many at a time: with useArrow each single call of eval would cost an Arrow batch and a data frame.
+"""
 
 from __future__ import annotations
 
@@ -29,7 +32,7 @@ def _rows(text: str | None) -> list[tuple]:
     return out
 
 
-@udtf(returnType=DETECTION, useArrow=True)
+@udtf(returnType=DETECTION, useArrow=False)
 class Detections:
     """detections(boxes): a row for each detection of a JSON list; `place` is that in the list, from 0. No rows for null and broken texts."""
 
