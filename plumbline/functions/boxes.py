@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import variants as V
+from .binding import let
 
 DETECTIONS = "array<struct<label:string,score:double,box:array<double>>>"
 #: Shares of the image below and above which a detection is noise, its least score, and how many are kept.
@@ -135,20 +136,34 @@ def greedy_match(a: Column, b: Column, min_iou: float = 0.3) -> Column:
     A pair needs an overlap of at least min_iou (before rounding). Of equally good partners the last one in b is taken.
     Pairs come by their lesser score, descending; equal ones keep the order in which they were made.
     """
-    state = f"struct<used:array<int>,pairs:array<{PAIR}>>"
-    start = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast(f"array<{PAIR}>").alias("pairs")).cast(state)
-
-    def step(s: Column, d: Column) -> Column:
-        partner = F.transform(b, lambda e, i: F.struct(iou(d["box"], e["box"]).alias("iou"), i.alias("place"), e.alias("e")))
-        fit = F.filter(partner, lambda p: (p["e"]["label"] == d["label"]) & (p["iou"] >= min_iou) & ~F.array_contains(s["used"], p["place"]))
-        chosen = F.array_max(F.transform(fit, lambda p: F.struct(p["iou"].alias("iou"), p["place"].alias("place"))))
-        e = F.get(b, chosen["place"])
-        rounded = lambda box: F.transform(box, lambda v: F.round(v, 4))
-        pair = F.struct(d["label"].alias("label"), F.round(chosen["iou"], 4).alias("iou"), F.round(d["score"], 3).alias("score_a"), F.round(e["score"], 3).alias("score_b"), rounded(d["box"]).alias("box_a"), rounded(e["box"]).alias("box_b"))
-        made = F.struct(F.array_append(s["used"], chosen["place"]).alias("used"), F.array_append(s["pairs"], pair.cast(PAIR)).alias("pairs")).cast(state)
-        return F.when(chosen.isNull(), s).otherwise(made)
-
-    pairs = F.aggregate(by_score(a), start, step)["pairs"]
+    # overlaps are worked out once for each two of a label, then the fold only looks at partners that are good enough
+    def partners(d: Column, places: Column) -> Column:
+        same = F.filter(places, lambda p: p["e"]["label"] == d["label"])
+        return F.filter(F.transform(same, lambda p: F.struct(iou(d["box"], p["e"]["box"]).alias("iou"), p["place"].alias("place"))), lambda p: p["iou"] >= min_iou)
+
+    numbered = F.transform(b, lambda e, i: F.struct(i.alias("place"), e.alias("e")))
+    fits = let(numbered, lambda places: F.transform(by_score(a), lambda d: F.struct(d.alias("d"), partners(d, places).alias("fits"))))
+
+    step_type = "struct<used:array<int>,chosen:array<struct<place:int,iou:double>>>"
+    start = F.struct(F.array().alias("used"), F.array().alias("chosen")).cast(step_type)
+
+    def step(s: Column, x: Column) -> Column:
+        best = F.array_max(F.filter(x["fits"], lambda p: ~F.array_contains(s["used"], p["place"])))
+        # one entry for each detection of a, null where it has no partner
+        taken = lambda c: F.struct(F.when(c.isNull(), s["used"]).otherwise(F.array_append(s["used"], c["place"])).alias("used"), F.array_append(s["chosen"], F.struct(c["place"].alias("place"), c["iou"].alias("iou"))).alias("chosen")).cast(step_type)
+        return let(best, taken)
+
+    rounded = lambda box: F.transform(box, lambda v: F.round(v, 4))
+
+    def pair(d: Column, c: Column) -> Column:
+        e = F.get(b, c["place"])
+        return F.struct(d["label"].alias("label"), F.round(c["iou"], 4).alias("iou"), F.round(d["score"], 3).alias("score_a"), F.round(e["score"], 3).alias("score_b"), rounded(d["box"]).alias("box_a"), rounded(e["box"]).alias("box_b"))
+
+    def made(fits: Column) -> Column:
+        both = F.arrays_zip(fits.alias("f"), F.aggregate(fits, start, step)["chosen"].alias("c"))
+        return F.transform(F.filter(both, lambda z: z["c"]["place"].isNotNull()), lambda z: pair(z["f"]["d"], z["c"]).cast(PAIR))
+
+    pairs = let(F.filter(fits, lambda x: F.size(x["fits"]) > 0), made)
     placed = F.transform(pairs, lambda p, i: F.struct((-F.least(p["score_a"], p["score_b"])).alias("minus"), i.alias("place"), p.alias("p")))
     return F.transform(F.array_sort(placed), lambda p: p["p"])
 

@@ -359,10 +359,13 @@ m AS (SELECT o, round(pair.iou, 4) AS iou, round(pair.sa, 3) AS sa, round(pair.s
 
 @query(_BOXES_SQL + "SELECT o AS l_orderkey, count(*) AS n, round(sum(iou), 4) AS total_iou, round(max(least(sa, sb)), 4) AS top_score FROM m GROUP BY o")
 def box_iou_agreement(spark, sf_dir):
-    p = _detections(spark, sf_dir).select("l_orderkey", B.greedy_match(F.col("a"), F.col("b"), 0.3).alias("p")).where(F.size("p") > 0)
-    total = F.aggregate("p", F.lit(0.0), lambda s, x: s + x["iou"])
-    s = B.pair_summary(F.col("p"))
-    return p.select("l_orderkey", s["n"].cast("bigint").alias("n"), F.round(total, 4).alias("total_iou"), F.round(s["top_score"], 4).alias("top_score"))
+    def summed(p):
+        s, total = B.pair_summary(p), F.aggregate(p, F.lit(0.0), lambda s, x: s + x["iou"])
+        return F.struct(s["n"].cast("bigint").alias("n"), F.round(total, 4).alias("total_iou"), F.round(s["top_score"], 4).alias("top_score"))
+
+    # a list of one or none: a filter on the pairs would be pushed down and match everything twice
+    matched = F.filter(F.array(B.greedy_match(F.col("a"), F.col("b"), 0.3)), lambda p: F.size(p) > 0)
+    return _detections(spark, sf_dir).select("l_orderkey", F.inline(F.transform(matched, summed)))
 
 
 @query(
