@@ -644,7 +644,9 @@ FROM m LEFT JOIN p ON p.id = m.id"""
 )
 def keypoint_summary(spark, sf_dir):
     place = lambda k: F.array((F.col("p_partkey") * (k + 3) % 97).cast("double"), (F.col("p_partkey") * (k + 7) % 89).cast("double"), (F.col("p_partkey") * (k + 1) % 11) / 10)
-    parts = _t(spark, sf_dir, "part").select("p_partkey", F.array(*[place(k) for k in range(17)]).alias("k"))
+    # the table is small in bytes and may be one split, its rows take work: they are dealt to all cores
+    keys = _t(spark, sf_dir, "part").select("p_partkey").repartition(3 * spark.sparkContext.defaultParallelism, "p_partkey")
+    parts = keys.select("p_partkey", F.array(*[place(k) for k in range(17)]).alias("k"))
     return parts.select("p_partkey", pose.summary(F.col("k"), F.array(F.lit(0.0), F.lit(0.0), F.lit(100.0), F.lit(90.0))).alias("s")).select("p_partkey", "s.*")
 
 
