@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import written
+from ._spark import small_batches, written
 from ._words import LOWER, SPACE, flat, pieces, span_hashes
 
 CAPACITY = 2048
@@ -35,6 +35,8 @@ CROSSOVERS = 6
 POOR = 0.99
 #: Encoded words that a Python worker remembers; only speed depends on it.
 REMEMBERED = 300_000
+#: Bytes of text that are segmented and encoded together, and of an Arrow batch: memory of a worker is a small multiple of it.
+PIECE = 1 << 20
 
 
 def default_tokenizer() -> str:
@@ -126,7 +128,7 @@ def cut(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE):
                 out: list[tuple] = []
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), e.ids(part.column("text")), strict=True):
                     ids += b"\0\0\0\0"
@@ -296,7 +298,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     itself. Texts of any length are cut into pieces of `capacity` tokens, the last one may be shorter. An empty table
     gives no rows. Extra columns aren't read.
     """
-    every = written(cut(docs, tokenizer, capacity, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    with small_batches(docs.sparkSession, PIECE):
+        every = written(cut(docs, tokenizer, capacity, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()), "pieces")
     done = every.where(F.col("length") == capacity).select("uid", (F.lit(1 << 60) + F.col("uid")).alias("sequence_id"))
     left = every.where(F.col("length") < capacity).select("uid", "length")
     count = left.count()
