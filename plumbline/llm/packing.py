@@ -12,6 +12,7 @@ the same way, until too few are left to fill a block.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,8 +34,10 @@ POPULATION = 4
 CROSSOVERS = 6
 #: Bins below this share of CAPACITY are dissolved and packed again across blocks.
 POOR = 0.99
-#: Encoded words that a Python worker remembers; only speed depends on it.
+#: Encoded words that a Python worker remembers, about; only speed depends on it.
 REMEMBERED = 300_000
+#: Longer words go through the whole tokenizer, whose result takes less memory.
+LONG = 256
 #: Bytes of text that are segmented and encoded together, and of an Arrow batch: memory of a worker is a small multiple of it.
 PIECE = 1 << 20
 
@@ -54,30 +57,41 @@ KIND[39] = 4
 KIND[SPACE] = 0
 CUTS = np.zeros((5, 5), bool)
 CUTS[[1, 3, 1, 2, 2, 2, 3], [3, 1, 2, 1, 2, 3, 2]] = True
+CUTS = CUTS.ravel()
+#: The character that stands for each byte in a byte-level model: itself where it is printable, else one from U+0100 on.
+CHARS = np.arange(256, dtype="<u2")
+CHARS[[*range(33), *range(127, 161), 173]] = 256 + np.arange(68)
 
 
-def segments(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Like words(), but cut as well where the tokenizer's own pattern surely cuts.
+def segments(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Like words(), but cut as well where the tokenizer's own pattern surely cuts, and with a flag for each segment.
 
-    That is between a letter (a-z or U+00C0 to U+00FF) and ASCII punctuation or a digit, and between digits. An
+    That is between a letter (A-Z, a-z or U+00C0 to U+00FF) and ASCII punctuation or a digit, and between digits. An
     apostrophe stays with its neighbours, as do all other characters, so ids of a text are those of its segments.
+    Segments of letters only, of one digit or of punctuation only are in lower case and have the flag False: the
+    tokenizer takes them as one piece. Others stay as they are, since a capital and the mark after it may compose otherwise
+    than the small letter does.
     """
-    data, offsets = flat(texts)
-    data = LOWER[data]
-    kind = KIND[data]
-    lead = np.flatnonzero(data[:-1] == 0xC3)
-    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    raw, offsets = flat(texts)
+    data, kind = LOWER[raw], KIND[raw]
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
     kind[lead] = kind[lead + 1] = 1
+    data[lead[raw[lead + 1] < 0x9F] + 1] += 32
     inside = kind > 0
     cut = np.zeros(len(data), bool)
-    cut[1:] = CUTS[kind[:-1], kind[1:]]
+    cut[1:] = CUTS[kind[:-1] * 5 + kind[1:]]
     cut[offsets[(offsets > 0) & (offsets < len(data))]] = True
     starts_here = inside.copy()
     starts_here[1:] &= ~inside[:-1] | cut[1:]
     ends_here = inside.copy()
     ends_here[:-1] &= ~inside[1:] | cut[1:]
     starts = np.flatnonzero(starts_here)
-    return data, starts, np.flatnonzero(ends_here) + 1, np.searchsorted(starts, offsets)
+    odd = np.maximum.reduceat(kind, starts) == 4 if len(starts) else np.zeros(0, bool)
+    capital = np.flatnonzero(data != raw)
+    capital = capital[odd[np.searchsorted(starts, capital, "right") - 1]]
+    data[capital] = raw[capital]
+    return data, starts, np.flatnonzero(ends_here) + 1, odd, np.searchsorted(starts, offsets)
 
 
 class Encoder:
@@ -86,27 +100,55 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         #: strings that the tokenizer takes as one token wherever they stand
         self.added = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        #: ids of words met since the memory was half full last, and of those met in the time before that
         self.known: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
+
+    def encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: np.ndarray) -> list[bytes]:
+        """Ids of each segment. Those that are one piece need the library's model only, not its normalizer and pattern."""
+        through = odd | (ends - starts > LONG)
+        out: list = [None] * len(starts)
+        raw, chars, tokenize = data.tobytes(), CHARS[data].tobytes().decode("utf-16-le"), self.model.tokenize
+        at = np.flatnonzero(~through)
+        for i, s, e in zip(at.tolist(), starts[at].tolist(), ends[at].tolist(), strict=True):
+            ids = [x.id for x in tokenize(chars[s:e])]
+            out[i] = struct.pack(f"<{len(ids)}I", *ids)
+        at = np.flatnonzero(through)
+        texts = [raw[s:e].decode() for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+        for i, x in zip(at.tolist(), self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            out[i] = np.array(x.ids, "<u4").tobytes()
+        return out
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
-        data, starts, ends, first = segments(texts)
-        names, sample, at = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        data, starts, ends, odd, first = segments(texts)
+        at, names = pd.factorize(span_hashes(data, starts, ends))
+        sample = np.empty(len(names), np.int64)
+        sample[at] = np.arange(len(at))
         keys = names.tolist()
         found = [self.known.get(k) for k in keys]
-        new = [i for i, x in enumerate(found) if x is None]
-        raw = data.tobytes()
-        s, e = starts[sample].tolist(), ends[sample].tolist()
-        for i, x in zip(new, self.tokenizer.encode_batch_fast([raw[s[i] : e[i]].decode() for i in new], add_special_tokens=False), strict=True):
-            found[i] = np.array(x.ids, "<u4").tobytes()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-        self.known.update((keys[i], found[i]) for i in new)
-        blobs = np.empty(len(found), object)
-        blobs[:] = found
-        out = [b"".join(blobs[at[a:b]].tolist()) for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)]
+        unmet = [i for i, x in enumerate(found) if x is None]
+        for i in unmet:
+            found[i] = self.older.get(keys[i])
+        new = [i for i in unmet if found[i] is None]
+        if new:
+            k = sample[new]
+            for i, x in zip(new, self.encoded(data, starts[k], ends[k], odd[k]), strict=True):
+                found[i] = x
+        self.known.update((keys[i], found[i]) for i in unmet)
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        # each segment's ids, gathered from those of the distinct ones
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        every, size = np.frombuffer(b"".join(found), "<u4"), sizes[at]
+        to = np.zeros(len(at) + 1, np.int64)
+        np.cumsum(size, out=to[1:])
+        ids = every[np.repeat((np.cumsum(sizes) - sizes)[at] - to[:-1], size) + np.arange(to[-1])].tobytes()
+        edges = (4 * to[first]).tolist()
+        out = [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)]
         plain, edges = flat(texts)
         plain = plain.tobytes()
         if any(x in plain for x in self.added):

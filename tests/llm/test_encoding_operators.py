@@ -68,6 +68,54 @@ def test_tokens_are_the_library(texts):
     assert packing.encoder(path).ids(pa.array([*texts, None])) == [*want, b""]
 
 
+class Counted:
+    """A tokenizer, or its model, that notes what it is given."""
+
+    def __init__(self, inner, seen):
+        self.inner, self.seen = inner, seen
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen += texts
+        return self.inner.encode_batch_fast(texts, **options)
+
+    def tokenize(self, word):
+        self.seen.append(word)
+        return self.inner.tokenize(word)
+
+
+def test_common_words_are_encoded_once(monkeypatch):
+    """However many rare words a worker meets; only these are forgotten."""
+    monkeypatch.setattr(packing, "REMEMBERED", 200)
+    e, seen = packing.Encoder(packing.default_tokenizer()), []
+    e.tokenizer = Counted(e.tokenizer, seen)
+    if hasattr(e, "model"):
+        e.model = Counted(e.model, seen)
+    rare = lambda k, i: "q" + chr(97 + k) + chr(97 + i // 26) + chr(97 + i % 26)
+    for k in range(20):
+        e.ids(pa.array(["the cat " + " ".join(rare(k, i) for i in range(50))]))
+    assert seen.count("the") == seen.count("cat") == 1 and len(seen) == 2 + 20 * 50
+    assert len(e.known) + len(e.older) <= 200 + 52
+
+
+def test_plain_words_need_the_model_only():
+    e, seen = packing.Encoder(packing.default_tokenizer()), []
+    e.tokenizer = Counted(e.tokenizer, seen)
+    e.ids(pa.array(["The Übergröße, 12 <b>été</b> don't e\u0301 \u4e2d " + "x" * 300]))
+    assert sorted(seen) == sorted(["don't", "e\u0301", "\u4e2d", "x" * 300])
+
+
+def test_tokens_of_capitals_and_marks_are_the_library():
+    """H with a line below has no composed form, h with one has."""
+    from tokenizers import Tokenizer
+
+    path, r = packing.default_tokenizer(), np.random.default_rng(11)
+    texts = ["H\u0331 T\u0308 J\u030c W\u030a Y\u030a", "\u00c9T\u00c9 \u00df\u00de\u00ff \u00d7\u00f7"]
+    some = list("abHTXYZ '.<>|-01 \n\u00e9\u00c9\u00df\u00c0\u00de\u00ff\u00d7\u0331\u0301\u0308\u030c\u0130\u03a3\u4e2d\x00\x1c\x85\x7f\u00bd")
+    texts += ["".join(r.choice(some, int(n))) for n in r.integers(0, 40, 2000)]
+    want = [np.array(x.ids, "<u4").tobytes() for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert packing.Encoder(path).ids(pa.array(texts)) == want
+
+
 def packed(frame):
     got = packing.pack(frame).toPandas().sort_values(["sequence_id", "offset"])
     before = got.groupby("sequence_id")["length"].cumsum() - got["length"]
